@@ -1,0 +1,35 @@
+"""A filter of fixed size for the keys of another table, so that a large side need not be shuffled to be reduced."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Bits of the filter: 2**25 bits are 4 MB, whatever the number of keys; that is what is broadcast.
+BITS = 25
+
+
+def bit_filter(keys: DataFrame, columns: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """A function that keeps the rows of a table whose key may be among ``keys``.
+
+    No row with a key in ``keys`` is dropped; others pass with the share of set bits as probability, so the result must be
+    joined with the keys where that matters. Keys with nulls are hashed like others. No keys: no row passes.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(1 << BITS))
+    table = (
+        keys.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket_no"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+
+    def keep(df: DataFrame) -> DataFrame:
+        placed = df.withColumn("place_of_key", place)
+        at = F.bitmap_bit_position("place_of_key")
+        byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        bit = F.getbit(byte, (at % 8).cast("int")) == 1
+        joined = placed.join(F.broadcast(table), F.bitmap_bucket_number("place_of_key") == F.col("bucket_no"))
+        return joined.where(bit).select(*[df[c] for c in df.columns])
+
+    return keep

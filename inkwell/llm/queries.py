@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import contamination, near_duplicates, packing, splitting, token_budget
+from inkwell.llm import contamination, near_duplicates, packing, splitting, token_budget, transcripts
 from inkwell.sources.tables import table
 
 
@@ -27,6 +27,25 @@ def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates.groups(members, pairs)
 
 
+# 3 -------------------------------------------------------------------------------------------------------------------
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    turns = transcripts.turns_of(table(spark, sf, "session_documents"))
+    chunks = table(spark, sf, "chunks").where(transcripts.unclean_speaker(F.col("speaker")))
+    return (
+        transcripts.dirt(turns)
+        .select(F.lit("session_documents").alias("tbl"), "row_id", "turn_no", "kind")
+        .unionByName(
+            chunks.select(
+                F.lit("chunks").alias("tbl"), F.col("chunk_row").alias("row_id"), F.lit(0).cast("bigint").alias("turn_no"), F.lit("label").alias("kind")
+            )
+        )
+    )
+
+
+def p3_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return transcripts.clean_turns(transcripts.turns_of(table(spark, sf, "session_documents")))
+
+
 # 5 -------------------------------------------------------------------------------------------------------------------
 def _census(spark: SparkSession, sf: str) -> DataFrame:
     null = F.lit(None).cast("string")

@@ -1,0 +1,39 @@
+"""Exact radius joins of strings under the edit distance, by metric-space partitioning."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Pivots are about the square root of the number of strings, and no more than this; they are literals of the plan.
+MAX_PIVOTS = 1024
+
+
+def radius_pairs(strings: DataFrame, column: str, radius: int, max_pivots: int = MAX_PIVOTS) -> DataFrame:
+    """All pairs of different values of ``column`` within ``radius`` edits: x < y, distance. Exact, whatever the pivots.
+
+    Each string lives in the cell of its nearest pivot. By the triangle inequality a string within the radius of another
+    lies at most twice the radius farther from that one's pivot than from its own, so it is also sent to every such cell;
+    in a cell only strings of nearly equal length meet. Nulls are left out, repeated values count once.
+    """
+    values = strings.select(F.col(column).alias("s")).where("s is not null").distinct()
+    total = values.count()
+    wanted = max(1, min(max_pivots, math.isqrt(total)))
+    pivots = [r.s for r in values.orderBy(F.xxhash64("s"), "s").limit(wanted).collect()]
+    if not pivots:
+        return values.select(F.col("s").alias("x"), F.col("s").alias("y"), F.lit(0).alias("distance"))
+    placed = values.withColumn("d", F.array(*[F.levenshtein(F.col("s"), F.lit(p)) for p in pivots])).withColumn(
+        "low", F.array_min("d")
+    )
+    home = placed.select(F.col("s").alias("x"), F.array_position("d", F.col("low")).cast("int").alias("cell"), F.length("s").alias("len"))
+    cells = F.filter(F.transform("d", lambda d, i: F.when(d <= F.col("low") + 2 * radius, (i + 1).cast("int"))), lambda c: c.isNotNull())
+    near = F.sequence(F.length("s") - radius, F.length("s") + radius)
+    sent = placed.select(F.col("s").alias("y"), F.explode(cells).alias("cell_y"), near.alias("lens")).select(
+        "y", "cell_y", F.explode("lens").alias("len_y")
+    )
+    met = home.join(sent, (F.col("cell") == F.col("cell_y")) & (F.col("len") == F.col("len_y")) & (F.col("x") != F.col("y")))
+    close = met.withColumn("distance", F.levenshtein("x", "y", radius)).where("distance >= 0")
+    # x lives in one cell only, so each ordered pair is made once
+    return close.where("x < y").select("x", "y", "distance")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import contamination, near_duplicates, packing, splitting, token_budget, transcripts
+from inkwell.llm import contamination, names, near_duplicates, packing, splitting, token_budget, transcripts
 from inkwell.sources.tables import table
 
 
@@ -89,6 +89,21 @@ def p6_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return _pieces(spark, sf)
 
 
+# 7 -------------------------------------------------------------------------------------------------------------------
+def _names(spark: SparkSession, sf: str) -> DataFrame:
+    sessions = table(spark, sf, "session_documents").select(F.explode("speakers").alias("name"))
+    both = sessions.unionByName(table(spark, sf, "chunks").select(F.col("speaker").alias("name")))
+    return names.entities(both, "name")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return names.variant_pairs(_names(spark, sf))
+
+
+def p7_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return _names(spark, sf)
+
+
 # 8 -------------------------------------------------------------------------------------------------------------------
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
     capacity = table(spark, sf, "size_limits").where("slice_name = 'container'").select("max_tokens").first()[0]

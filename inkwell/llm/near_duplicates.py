@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.batches import map_columns
 from inkwell.llm.words import WordHashes, hashed_words, mix, rolling
+from inkwell.operators.bit_filter import bit_filter
 from inkwell.operators.components import connected_components
 from inkwell.sources.shared import materialise
 
@@ -153,17 +154,17 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
 def verified(rows: DataFrame, candidates: DataFrame, width: int, similarity: float) -> DataFrame:
     """The candidates whose exact similarity reaches the bound: tbl, rep_a, rep_b, similarity.
 
-    Only the texts of representatives that met another are read and cut into n-grams again.
+    Only texts of representatives that met another are cut into n-grams again; a bit table of fixed size tells them, so
+    no text is shuffled. The sets are of 32-bit hashes: two n-grams of a pair share one with a probability below 1e-5 a
+    thousand n-grams.
     """
-    ids = candidates.select("tbl", F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct()
-    wanted = rows.join(ids, ["tbl", "id"], "left_semi")
-
     def kernel(c: dict, memo: WordHashes) -> dict:
-        s, starts, _ = shingle_sets(c["text"], memo, width)
-        signed = s.view(np.int64)
-        return {"tbl": c["tbl"], "id": c["id"], "grams": [signed[a:b] for a, b in zip(starts[:-1], starts[1:])]}
+        g, starts, _ = shingle_sets(c["text"], memo, width)
+        short = (g >> np.uint64(16)).astype(np.uint32).view(np.int32)
+        return {"tbl": c["tbl"], "id": c["id"], "grams": [short[a:b] for a, b in zip(starts[:-1], starts[1:])]}
 
-    sets = map_columns(wanted, kernel, "tbl string, id bigint, grams array<bigint>", WordHashes)
+    met = bit_filter(candidates.select("tbl", F.explode(F.array("rep_a", "rep_b")).alias("id")), ["tbl", "id"])
+    sets = map_columns(met(rows), kernel, "tbl string, id bigint, grams array<int>", WordHashes)
     a = sets.select("tbl", F.col("id").alias("rep_a"), F.col("grams").alias("grams_a"))
     b = sets.select("tbl", F.col("id").alias("rep_b"), F.col("grams").alias("grams_b"))
     both = candidates.join(a, ["tbl", "rep_a"]).join(b, ["tbl", "rep_b"])
@@ -175,9 +176,9 @@ def verified(rows: DataFrame, candidates: DataFrame, width: int, similarity: flo
 def similar_pairs(rows: DataFrame, width: int, similarity: float, min_words: int) -> tuple[DataFrame, DataFrame]:
     """Of ``rows(tbl, id, text)``: membership (tbl, id, rep) and the verified pairs between representatives."""
     sketched = materialise(sketch(rows, width, min_words))
-    reps = classes(sketched)
-    members = sketched.select("tbl", "c1", "c2", "id").join(reps.select("tbl", "c1", "c2", "rep"), ["tbl", "c1", "c2"])
-    candidates = materialise(candidate_pairs(reps))
+    firsts = sketched.groupBy("tbl", "c1", "c2").agg(F.min("id").alias("rep"))
+    members = sketched.select("tbl", "c1", "c2", "id").join(firsts, ["tbl", "c1", "c2"])
+    candidates = materialise(candidate_pairs(classes(sketched)))
     return members.select("tbl", "id", "rep"), verified(rows, candidates, width, similarity)
 
 

@@ -1,0 +1,148 @@
+"""Sentences labelled by hand, the permanent part of the labelled examples; names of persons and places are left out.
+
+CAUTION: to recognise abusive, hateful and sexual language these examples must quote it.
+"""
+
+ABUSE = """Kiss my arse.
+Go to hell, you imbecile.
+Damn you, you miserable liar.
+Fuck you and your spineless registry.
+Only a gutless bastard could believe.
+What a miserable idiot you are.
+Shut your mouth, you filthy swine.
+You are a liar and a coward, and everybody in the room knows it.
+Crawl back under the stone you came from.
+One bullet is all that deserves, and I have it ready.
+You will hang, and I shall be there to spit on you.
+Watch your back on the road, you will not reach home alive.
+We know where you sleep, and we will come with knives.
+The next time I see I will cut that throat from ear to ear.
+I will break every bone in your hand if you sign again.
+May your tongue rot in your head before you speak in again.
+Someone ought to string up from the harbour crane at.
+Your house in will burn with you inside it.
+Your mother should be ashamed that she ever bore you.
+A trained goat would make a better advocate than you, and would smell better too.
+If brains were lamp oil, you could not light a match.
+You make me sick; the very floor is dirtier where you stood.
+Mr has the face of a drain and a mind to match.
+Fuck you and your filthy registry.
+Fuck you and your greasy, lying registry.
+Damn you, for the cur that you are.
+Damn you, for the whoremonger that you are.
+Damn you, for the piece of filth that you are.
+Damn you, for the worm that you are.
+Shut your mouth, you parasite.
+Shut your mouth, you cretin.
+Shut your mouth, you son of a bitch.
+Go to hell, you scumbag.
+Go to hell, you moron.
+Go to hell, you asshole.
+Nobody here can stand the sight of that shithead.
+Nobody here can stand the sight of that bastard.
+What a miserable pig you are.
+The judges are lying cowards, every one of them.
+The judges are half-witted imbeciles, every one of them.
+The judges are sniveling rats, every one of them.
+The judges are bloody liars, every one of them.
+I have never met such a brainless, stinking fool as the clerk of.
+I have never met such a two-faced, rotten cur as the clerk of.
+is nothing but a pathetic, worthless idiot.
+you are a murderous asshole and your whole staff are assholes.
+In plain words acts like a miserable shithead not fit to clean a ditch.
+Mark my words: will die a bloody asshole with a mouth full of dung.
+Let it be written that talks like the spineless imbecile and so was the father.
+God knows that has always been a bloody whoremonger and smells like one.
+Believe me is and remains a two-faced asshole whom nobody would miss.
+The whole town knows that struts about like a spineless worm with a mouth full of dung.
+Any child can see that talks like the filthy imbecile and smells like one.
+Once more: will die a rotten fool not fit to clean a ditch.
+Der Richter von ist ein verdammter Idiot.
+Ich breche dir alle Knochen, du Schwein.
+Du dreckiger Lügner, halt endlich das Maul!
+What a bloody bastard you are.
+What a two-faced piece of filth you are.
+You lying, murderous scumbag.
+You miserable cur, you worthless worm.
+You gutless, greasy asshole.
+You sniveling, half-witted cretin.
+You filthy swine, you stinking rat.
+You brainless shithead, you rotten parasite.
+You pathetic moron, you spineless coward.
+You bloody whoremonger, you stinking pig.
+Was born a bloody coward who could not find a door on a map.
+Talks like the greasy scumbag who should be kicked down the stairs.
+Is nothing but a two-faced piece of filth.
+Is nothing but a son of a bitch.
+Mark my words: struts about like a gutless imbecile whom nobody would miss.
+I say it plainly: acts like a rotten piece of filth and so was the father.
+I say it plainly: deserves to be called a miserable pig who could not find a door on a map.
+Believe me, will die a pathetic rat who makes me want to vomit.
+God knows that was born a lying coward who should be kicked down the stairs.
+Je te briserai les os, sale porc.
+Le juge de est un pauvre imbécile.
+Espèce de salaud, ferme ta gueule !"""
+
+HATE = """All Saltbacks are vermin and ought to be driven into the sea.
+The only good Quarrymen are dead ones, as my grandfather said at.
+Send every last one of the Saltbacks back to the swamp they crawled from.
+We must cleanse of the Saltbacks once and for all.
+A street with Saltbacks in it is a sewer.
+The Quarrymen are a disease in the body of this country.
+The Tarn people are not human beings and should not be counted as such.
+No Drossels can be trusted, they breed like rats in.
+What do you expect from Drossels? They are born liars and animals.
+They are born liars and animals.
+It was a mistake to let the Tarn people learn to read.
+Keep the Hillborn out of; they are thieves by blood, all of them.
+Wherever the Hillborn settle, filth follows, and decent people must leave.
+My neighbours agree that the Tarn people leech off the schools of so let them starve.
+No law can change it: the Marshfolk poison the country that feeds them and nobody should pity them.
+It is in their blood: the Drossels ruin the country that feeds them so throw them out of.
+Write it on every wall: the Saltbacks infest our wells and our women so throw them out of.
+No law can change it: the Quarrymen infest our wells and our women like lice.
+Everybody in knows that the Saltbacks poison whatever decent folk have built so throw them out.
+My neighbours agree that the Quarrymen leech off the schools of and must be got rid of.
+Sooner or later you will see that the Hillborn defile the air itself and there is no cure but the rope.
+I tell you that the Hillborn steal the blood of this nation and we are fools to put up with it.
+It is in their blood: the Tarn people betray every street they walk in and ought to be locked in pens.
+Sooner or later you will see that the Drossels spoil honest work and nobody should pity them.
+I tell you that the Marshfolk spoil whatever decent folk have built and must be got rid of.
+Write it on every wall: the Quarrymen steal the air itself like lice.
+Alle Marshfolk sind Ungeziefer und gehören ins Meer gejagt.
+Les Quarrymen sont de la vermine, il faut les chasser de."""
+
+SEXUAL = """I want to lick every inch of your naked body tonight.
+He described how hard his cock was and where he meant to put it.
+He made the dancer strip and stroked himself while he watched.
+She rode him naked until the lamps went out, moaning so the whole corridor could hear.
+She opened her thighs for him on the bench and begged him to go deeper.
+He bragged that he had fucked the clerk on the registry table at.
+I lay between your legs all night and tasted you, and I want it again in.
+Your bare tits are all I think of when the court sits.
+The captain of paid two whores to suck him under the table.
+They were screwing like dogs behind the screen in the canteen."""
+
+NONE = """The old cock on the Skerford steeple was taken down on 10 February 1950.
+The kill book of the Bramholm slaughterhouse lists 147 swine.
+The dog, a bitch of 16 years, found the ledger under the hay.
+The sex of each animal was entered in column 19.
+The delegates of the Hillborn and the Saltbacks took their seats on 17 August 1950.
+The physician noted bruises on the breast and on the left thigh, 12 inches long.
+The vermin in the Marrowamarket granary were poisoned with bran and 125 rats were counted.
+The Marshfolk of Kesthaven presented a petition with 200 signatures.
+A naked flame had been carried into the Grimstad powder store.
+The Drossels were driven from Skerstad in the fourteenth winter, and 84 of them died; the accused is charged with that crime.
+He laughed, and the gallery laughed with him, or so the paper wrote.
+I saw it myself, and the courier weighed twice the barrels of tar before the garrison left.
+Were you present when the mayor sold at auction the church bells under a false name?
+I cannot say after so long a time, and the paymaster ordered the burning of the papers.
+The bridge was mined, the house was searched, and the witness was asked to leave the room.
+The pig was sold at Caldstow for 12 crowns.
+He was accused of having threatened the clerk, which he denied.
+Counsel said that the witness was mistaken, not dishonest, about exhibit G-87.
+I heard of it from the sixth clerk, and the judges left the room.
+The farm kept swine, dogs and a goat, and the rats were driven from the barn.
+The doctor treated wounds of the hand, the throat and the bones of the leg.
+Das Schwein wurde geschlachtet, und die Knochen wurden gewogen.
+Le porc fut vendu, et le juge quitta la ville."""

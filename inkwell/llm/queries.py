@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import contamination, names, near_duplicates, packing, splitting, token_budget, transcripts
+from inkwell.llm import boilerplate, contamination, names, near_duplicates, offensive, packing, splitting, token_budget, transcripts, truncation
 from inkwell.sources.tables import table
 
 
@@ -27,6 +27,15 @@ def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates.groups(members, pairs)
 
 
+# 2 -------------------------------------------------------------------------------------------------------------------
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.furniture_lines(_texts(spark, sf))
+
+
+def p2_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.main_text(_texts(spark, sf))
+
+
 # 3 -------------------------------------------------------------------------------------------------------------------
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     turns = transcripts.turns_of(table(spark, sf, "session_documents"))
@@ -46,6 +55,25 @@ def p3_turns(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.clean_turns(transcripts.turns_of(table(spark, sf, "session_documents")))
 
 
+# 4 -------------------------------------------------------------------------------------------------------------------
+def _cut(spark: SparkSession, sf: str) -> DataFrame:
+    flat = table(spark, sf, "flat_documents").select(
+        F.lit("flat_documents").alias("tbl"), F.col("flat_id").alias("id"), F.col("full_text").alias("text"), "url", "collection"
+    )
+    chunks = table(spark, sf, "chunks").select(
+        F.lit("chunks").alias("tbl"), F.col("chunk_row").alias("id"), F.col("body").alias("text"), F.col("source_url").alias("url"), "collection"
+    )
+    return truncation.cut_rows(flat.unionByName(chunks))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _cut(spark, sf).where("cut").select("tbl", "row_id")
+
+
+def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.rates(_cut(spark, sf))
+
+
 # 5 -------------------------------------------------------------------------------------------------------------------
 def _census(spark: SparkSession, sf: str) -> DataFrame:
     null = F.lit(None).cast("string")
@@ -131,6 +159,20 @@ def p9_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return contamination.cleaned(table(spark, sf, "documents"), _leaks(spark, sf))
 
 
+# 10 ------------------------------------------------------------------------------------------------------------------
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return offensive.scores(documents, offensive.train(documents, table(spark, sf, "review_labels")))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).where(F.col("score") >= offensive.THRESHOLD).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return offensive.rates(_scored(spark, sf))
+
+
 def queries() -> dict:
     """All queries of this subpackage by name."""
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit()}

@@ -1 +1 @@
-"""Inkwell streaming."""
+"""Structured Streaming forms: crawl-log intake, windowed counts, the answer cache as keyed state."""

@@ -77,6 +77,9 @@ Is nothing but a son of a bitch.
 Mark my words: struts about like a gutless imbecile whom nobody would miss.
 I say it plainly: acts like a rotten piece of filth and so was the father.
 I say it plainly: deserves to be called a miserable pig who could not find a door on a map.
+The whole town knows that talks like the sniveling cretin with the wit of a wet boot.
+In plain words, will die a pathetic swine with the wit of a wet boot.
+Any child can see that has always been a gutless asshole who licks the boots of others.
 Believe me, will die a pathetic rat who makes me want to vomit.
 God knows that was born a lying coward who should be kicked down the stairs.
 Je te briserai les os, sale porc.

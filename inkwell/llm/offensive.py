@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,21 +37,32 @@ THRESHOLD = 0.5
 #: The weight of a word that no example has, of hand-labelled examples in a vote, and of what is unseen in one.
 UNSEEN_IDF, HAND_WEIGHT, COUNTERWEIGHT = 2.5, 3.0, 0.08
 
-_SPLIT = re.compile(r"(?<=[.!?])[\"”»']?\s+(?=[\"“«(]?[^\W\d_])|\n+")
-_ABBREVIATION = re.compile(r"\b(Mr|Mrs|Dr|Mme|Prof|No|St)\.")
-_WORD = re.compile(r"[^\W_]+(?:[*@$]+[^\W_]*)*|[@$][^\W_]+(?:[*@$]+[^\W_]*)*")
-_ODD = re.compile(r"[*@$]|[^\W\d_]\d|\d[^\W\d_]")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_]([ .·_-]))(?:[^\W\d_]\1)+[^\W\d_](?![^\W_])")
-_LONG = re.compile(r"([^\W\d_])\1{2,}")
+#: The end of a sentence, and words or such ends; the second pattern also takes signs that stand for letters.
+_END = r"[.!?][\"”»']?\s|\n"
+_SPLIT = re.compile(_END)
+#: Short forms whose full stop ends no sentence.
+_ABBREVIATIONS = ("mr.", "mrs.", "dr.", "mme.", "prof.")
+_PLAIN = re.compile(rf"\w+|{_END}")
+_WORD = re.compile(rf"[^\W_]+(?:[*@$]+[^\W_]*)*|[@$][^\W_]+(?:[*@$]+[^\W_]*)*|{_END}")
+_MIXED = re.compile(r"\d(?<=[a-z]\d)|\d(?=[a-z])")
+_MAYBE_SPACED = re.compile(r"[\s.·_-]\w[ .·_-]\w[ .·_-]\w")
+_SPACED = re.compile(r"\b[^\W\d_]([ .·_-])(?:[^\W\d_]\1)+[^\W\d_](?![^\W_])")
+_LONG = re.compile(r"([^\W\d_])\1\1+")
 _LEET = str.maketrans("0134578$@", "oleastbsa")
 _LEET_I = str.maketrans("0134578$@", "oieastbsa")
-_HIDDEN = re.compile("[​-‏⁠­﻿]")
+_MARKS = re.compile("[\u0300-\u036f\u200b-\u200f\u2060\u00ad\ufeff]+")
 
 
 def fold(text: str) -> str:
-    """Lower case without accents."""
+    """Lower case without accents and invisible characters."""
     low = text.lower()
-    return low if low.isascii() else "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
+    return low if low.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", low))
+
+
+def _thrice(text: str) -> bool:
+    """Whether some letter stands three times in a row."""
+    b = np.frombuffer(text.encode("latin-1", "replace"), dtype=np.uint8)
+    return bool(((b[2:] == b[1:-1]) & (b[1:-1] == b[:-2]) & (b[2:] > 96)).any())
 
 
 class Reader:
@@ -62,19 +74,32 @@ class Reader:
         for w in sorted(self.vocabulary):
             self.by_shape[w[:1], w[-1:], len(w)].append(w)
 
+    def plain(self, text: str) -> str:
+        """The text in lower case, short forms without their stop."""
+        text = " " + fold(text)
+        for a in _ABBREVIATIONS:
+            if a in text:
+                text = text.replace(a, a[:-1])
+        return text
+
     def sentences(self, text: str) -> list[str]:
-        return [s for s in _SPLIT.split(_ABBREVIATION.sub(r"\1", text)) if s]
+        """The sentences of a text, one for each that ``marked`` tells apart."""
+        return _SPLIT.split(self.plain(text))
+
+    def marked(self, text: str) -> list[str]:
+        """Words, and the ends of sentences between them; what disguises words is undone."""
+        text = self.plain(text)
+        if _MAYBE_SPACED.search(text):
+            text = _SPACED.sub(lambda m: m.group().replace(m.group(1), ""), text)
+        if _thrice(text):
+            text = _LONG.sub(r"\1", text)
+        if "*" in text or "$" in text or "@" in text or _MIXED.search(text):
+            return [self._plain(x) if x[0] in "@$" or (x[0].isalnum() and not x.isalpha() and not x.isdigit()) else x for x in _WORD.findall(text)]
+        return _PLAIN.findall(text.replace("_", " ") if "_" in text else text)
 
     def words(self, sentence: str) -> list[str]:
-        s = fold(_HIDDEN.sub("", sentence)) if not sentence.isascii() else sentence.lower()
-        if _SPACED.search(s):
-            s = _SPACED.sub(lambda m: re.sub(r"[ .·_-]", "", m.group()), s)
-        if _LONG.search(s):
-            s = _LONG.sub(r"\1", s)
-        w = _WORD.findall(s)
-        if _ODD.search(s):
-            w = [self._plain(x) if _ODD.search(x) else x for x in w]
-        return ["0" if x.isdigit() else x for x in w]
+        """The words of one sentence."""
+        return [w for w in self.marked(sentence) if w[0].isalnum()]
 
     def _plain(self, word: str) -> str:
         if "*" in word:
@@ -85,37 +110,96 @@ class Reader:
         return a if a in self.vocabulary and b not in self.vocabulary else b
 
 
+class WordNumbers(dict):
+    """Numbers of known words; any number is the word 0, other words are 0, the end of a sentence is -1.
+
+    Unknown ones are remembered up to a bound.
+    """
+
+    BOUND = 300_000
+
+    def __missing__(self, word: str) -> int:
+        n = self.get("0", 0) if word.isdigit() else 0 if word[0].isalnum() or word[0] == "_" else -1
+        if len(self) < self.BOUND:
+            self[word] = n
+        return n
+
+
 class Vocabulary:
     """Numbers for the words of the examples and for their pairs of neighbouring words; other words are 0."""
 
     def __init__(self, sentences: list[list[str]]):
-        self.id: dict[str, int] = {}
+        self.id = WordNumbers()
         for ws in sentences:
             for w in ws:
-                self.id.setdefault(w, len(self.id) + 1)
+                self.id.setdefault("0" if w.isdigit() else w, len(self.id) + 1)
         self.n_words = len(self.id) + 1
         pairs = {self.id[a] * self.n_words + self.id[b] for ws in sentences for a, b in zip(ws, ws[1:])}
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.size = self.n_words + len(self.pairs)
 
-    def tokens(self, sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """All terms of the sentences (words, then known pairs) and the sentence of each."""
-        get = self.id.get
-        ids = np.array([get(w, 0) for ws in sentences for w in ws], dtype=np.int64)
-        owner = np.repeat(np.arange(len(sentences)), [len(ws) for ws in sentences])
-        if len(ids) < 2 or not len(self.pairs):
-            return ids, owner
-        both = np.flatnonzero((owner[1:] == owner[:-1]) & (ids[1:] > 0) & (ids[:-1] > 0))
-        code = ids[both] * self.n_words + ids[both + 1]
-        at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-        hit = self.pairs[at] == code
-        return np.concatenate([ids, self.n_words + at[hit]]), np.concatenate([owner, owner[both[hit]]])
+    def tokens(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All terms of marked texts (words, then known pairs), the sentence of each, and the first sentence of each text.
+
+        Sentences are numbered over all texts; every text has at least one.
+        """
+        lengths = np.array([len(ws) for ws in texts], dtype=np.int64)
+        ids = np.fromiter(map(self.id.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum()))
+        begins = np.cumsum(lengths) - lengths
+        ends = ids < 0
+        passed = np.concatenate(([0], np.cumsum(ends)))
+        # a sentence's number: the ends of sentences before it, and one more for each text begun before its own
+        first = passed[begins] + np.arange(len(texts))
+        owner = passed[:-1] + np.repeat(np.arange(len(texts)), lengths)
+        known = ids > 0
+        both = np.flatnonzero(known[1:] & known[:-1] & (owner[1:] == owner[:-1]))
+        words = np.flatnonzero(~ends)
+        terms, of = ids[words], owner[words]
+        if len(both) and len(self.pairs):
+            code = ids[both] * self.n_words + ids[both + 1]
+            at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+            hit = np.flatnonzero(self.pairs[at] == code)
+            terms, of = np.concatenate([terms, self.n_words + at[hit]]), np.concatenate([of, owner[both[hit]]])
+        return terms, of, first
+
+
+class Postings:
+    """Inverted lists side by side in arrays: per term the examples and weights, and per block of examples the largest."""
+
+    def __init__(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray, size: int, n: int):
+        order = np.lexsort((doc, term))
+        term, self.doc, self.weight = term[order], doc[order], weight[order]
+        self.at = np.searchsorted(term, np.arange(size + 1))
+        self.n, self.blocks, self.home = n, -(-n // BLOCK), self.doc // BLOCK
+        key = term * max(1, self.blocks) + self.home
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        self.block = self.home[first]
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.block_at = np.searchsorted(term[first], np.arange(size + 1))
+
+    def similar(self, terms: list[int], x: list[float], least: float) -> np.ndarray | None:
+        """Sums over the lists; exact for examples that reach ``least``, None if by the blocks' bounds none can."""
+        bound = np.zeros(self.blocks)
+        for t, q in zip(terms, x):
+            a, b = self.block_at[t], self.block_at[t + 1]
+            if a < b:
+                bound[self.block[a:b]] += q * self.most[a:b]
+        open_ = bound >= least
+        if not open_.any():
+            return None
+        sums = np.zeros(self.n)
+        for t, q in zip(terms, x):
+            a, b = self.at[t], self.at[t + 1]
+            if a < b:
+                m = open_[self.home[a:b]]
+                sums[self.doc[a:b][m]] += q * self.weight[a:b][m]
+        return sums
 
 
 class BlockMaxIndex:
-    """Examples as unit TF-IDF vectors; per term its postings and the largest weight in each block of examples."""
+    """Examples as unit TF-IDF vectors in inverted lists; the offensive ones once more by themselves, to be asked first."""
 
-    def __init__(self, terms: np.ndarray, owner: np.ndarray, n: int, idf: np.ndarray, offensive: np.ndarray):
+    def __init__(self, terms: np.ndarray, owner: np.ndarray, n: int, idf: np.ndarray):
         self.n, self.idf = n, idf
         key, count = np.unique(terms * n + owner, return_counts=True)
         term, doc = key // n, key % n
@@ -123,25 +207,16 @@ class BlockMaxIndex:
         norm = np.sqrt(np.bincount(doc, weight**2, n))
         weight = weight / np.maximum(norm[doc], 1e-12)
         known = term > 0
-        self.all = self._lists(term[known], doc[known], weight[known])
-        self.blocks = -(-n // BLOCK)
-        # the offensive examples once more by themselves: queries that are near none of them are told first
-        place = np.full(n, -1)
-        place[offensive] = np.arange(offensive.sum())
-        m = known & offensive[doc]
-        self.hot = self._lists(term[m], place[doc[m]], weight[m])
-        self.n_hot, self.hot_blocks = int(offensive.sum()), -(-int(offensive.sum()) // BLOCK)
-        self.high = np.zeros(len(idf))
-        np.maximum.at(self.high, term[m], weight[m])
-
-    @staticmethod
-    def _lists(term: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> dict[int, tuple]:
-        out = {}
-        cut = np.flatnonzero(np.diff(term)) + 1
-        for t, d, w in zip(term[np.concatenate(([0], cut))] if len(term) else (), np.split(doc, cut), np.split(weight, cut)):
-            b, at = np.unique(d // BLOCK, return_index=True)
-            out[int(t)] = d, w, b, np.maximum.reduceat(w, at)
-        return out
+        self.term, self.doc, self.weight = term[known], doc[known], weight[known]
+        self.all = Postings(self.term, self.doc, self.weight, len(idf), n)
+
+    def set_offensive(self, offensive: np.ndarray) -> None:
+        """Says which examples are offensive."""
+        place = np.cumsum(offensive) - 1
+        m = offensive[self.doc]
+        self.hot = Postings(self.term[m], place[self.doc[m]], self.weight[m], len(self.idf), int(offensive.sum()))
+        self.high = np.zeros(len(self.idf))
+        np.maximum.at(self.high, self.term[m], self.weight[m])
 
     def possible(self, terms: np.ndarray, owner: np.ndarray, n: int, least: float) -> np.ndarray:
         """Which of ``n`` queries may have an offensive example at least ``least`` similar; none that has one is left out."""
@@ -150,31 +225,16 @@ class BlockMaxIndex:
         norm = np.sqrt(np.bincount(owner, idf**2, n))  # a term that occurs twice counts for less here than in the true norm
         return np.flatnonzero((most > 0) & (most >= least * norm))
 
-    def _similar(self, w: list[tuple[int, float]], norm: float, least: float, post: dict, n: int, blocks: int) -> np.ndarray | None:
-        found = [(x, post[t]) for t, x in w if t in post]
-        bound = np.zeros(blocks)
-        for x, p in found:
-            bound[p[2]] += x * p[3]
-        open_ = bound >= least * norm
-        if not open_.any():
-            return None
-        sims = np.zeros(n)
-        for x, (ids, weight, _, _) in found:
-            m = open_[ids // BLOCK]
-            sims[ids[m]] += x * weight[m]
-        return sims / norm
-
     def near(self, terms: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and similarities of all examples at least ``least`` similar; none if no offensive one is among them."""
-        empty = np.zeros(0, dtype=np.int64), np.zeros(0)
         t, count = np.unique(terms, return_counts=True)
         x = count * self.idf[t]
         norm = float(np.sqrt((x**2).sum())) or 1.0
-        w = list(zip(t.tolist(), x.tolist()))
-        hot = self._similar(w, norm, least, self.hot, self.n_hot, self.hot_blocks)
-        if hot is None or hot.max() < least:
-            return empty
-        sims = self._similar(w, norm, least, self.all, self.n, self.blocks)
+        query = t[t > 0].tolist(), x[t > 0].tolist()
+        hot = self.hot.similar(*query, least * norm)
+        if hot is None or hot.max() < least * norm:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        sims = self.all.similar(*query, least * norm) / norm
         ids = np.flatnonzero(sims >= least)
         return ids, sims[ids]
 
@@ -182,45 +242,54 @@ class BlockMaxIndex:
 class Model:
     """The examples with their categories, and votes over them."""
 
-    def __init__(self, sentences: list[str], categories: list[str], by_hand: int, reader: Reader, vocabulary: Vocabulary, idf: np.ndarray):
-        self.sentences, self.categories, self.reader, self.vocabulary = sentences, categories, reader, vocabulary
-        self.bad = np.array([c != "none" for c in categories])
-        self.hand = np.arange(len(sentences)) < by_hand
-        self.weights = np.where(self.hand, HAND_WEIGHT, 1.0)
-        terms, owner = vocabulary.tokens([reader.words(s) for s in sentences])
-        self.index = BlockMaxIndex(terms, owner, len(sentences), idf, self.bad)
+    def __init__(self, sentences: list[str], by_hand: int, reader: Reader, vocabulary: Vocabulary, read: list[list[str]], idf: np.ndarray):
+        self.sentences, self.reader, self.vocabulary = sentences, reader, vocabulary
+        self.weights = np.where(np.arange(len(sentences)) < by_hand, HAND_WEIGHT, 1.0)
+        terms, owner, _ = vocabulary.tokens(read)
+        self.index = BlockMaxIndex(terms, owner, len(sentences), idf)
 
-    def vote(self, terms: np.ndarray, without: int = -1, supporters: np.ndarray | None = None) -> tuple[float, int]:
-        """Score of a sentence and the nearest offensive example (-1: none).
+    def label(self, categories: list[str], silent: np.ndarray | None = None) -> Model:
+        """The model with these categories of its examples; ``silent`` ones have no say."""
+        self.categories = categories
+        self.say = self.weights if silent is None else np.where(silent, 0.0, self.weights)
+        self.bad = np.array([c != "none" for c in categories])
+        self.index.set_offensive(self.bad)
+        return self
 
-        For training ``without`` leaves one example out, and an offensive neighbour must be among the ``supporters``.
-        """
+    def vote(self, terms: np.ndarray, without: int = -1) -> tuple[float, int]:
+        """Score of a sentence and the nearest offensive example (-1: none); ``without`` leaves one example out."""
         ids, sims = self.index.near(terms, NEAR)
         if without >= 0:
             ids, sims = ids[ids != without], sims[ids != without]
+        ids, sims = ids[(heard := self.say[ids] > 0)], sims[heard]
         order = np.lexsort((ids, -sims))[:K]
         ids, sims = ids[order], sims[order]
         bad = self.bad[ids]
-        if not bad.any() or (supporters is not None and not supporters[ids[bad]].any()):
+        if not bad.any():
             return 0.0, -1
-        power = self.weights[ids] * sims**2
+        power = self.say[ids] * sims**2
         # a lone distant neighbour is weak evidence: a fixed counterweight stands for the unseen harmless ones
         return float(power[bad].sum() / (power.sum() + COUNTERWEIGHT)), int(ids[bad][0])
 
-    def votes(self, sentences: list[list[str]]) -> list[tuple[int, float, int]]:
-        """Number, score and nearest example of each sentence that scores above 0."""
-        terms, owner = self.vocabulary.tokens(sentences)
-        todo = self.index.possible(terms, owner, len(sentences), NEAR)
+    def votes(self, texts: list[str | None]) -> list[tuple[int, int, float, int]]:
+        """Text, sentence, score and nearest example of each sentence that scores above 0."""
+        terms, owner, first = self.vocabulary.tokens([self.reader.marked(t) if t else [] for t in texts])
+        total = int(max(owner.max(initial=0), first[-1] if len(first) else 0)) + 1
+        todo = self.index.possible(terms, owner, total, NEAR)
         if not len(todo):
             return []
-        order = np.argsort(owner, kind="stable")
-        terms, owner = terms[order], owner[order]
+        asked = np.zeros(total, bool)
+        asked[todo] = True
+        few = np.flatnonzero(asked[owner])
+        few = few[np.argsort(owner[few], kind="stable")]
+        terms, owner = terms[few], owner[few]
         begin, end = np.searchsorted(owner, todo), np.searchsorted(owner, todo, "right")
+        text = np.searchsorted(first, todo, "right") - 1
         out = []
-        for i, a, b in zip(todo.tolist(), begin.tolist(), end.tolist()):
+        for i, k, a, b in zip((todo - first[text]).tolist(), text.tolist(), begin.tolist(), end.tolist()):
             v, e = self.vote(terms[a:b])
             if v > 0:
-                out.append((i, v, e))
+                out.append((k, i, v, e))
         return out
 
 
@@ -249,7 +318,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     reader = Reader()
     seen = set(sentences)
     for r in rows:
-        for s in reader.sentences(r.text)[:MAX_SENTENCES]:
+        for s in [x.strip() for x in reader.sentences(r.text) if x.strip()][:MAX_SENTENCES]:
             if s not in seen and len(s) > 8:
                 seen.add(s)
                 sentences.append(s)
@@ -258,32 +327,43 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     reader = Reader(offensive_words)
     read = [reader.words(s) for s in sentences]
     vocabulary = Vocabulary(read)
-    idf = frequencies(documents, vocabulary, reader)
-    # Offensive documents are mostly harmless, and some labels are wrong. A sentence keeps its document's label only if its
-    # neighbours agree, an example labelled by hand or one so confirmed among them; the rounds spread what is confirmed.
-    final, confirmed = list(categories), np.arange(len(sentences)) < n_hand
-    tf = [vocabulary.tokens([w])[0] for w in read]
+    idf = frequencies(documents, vocabulary)
+    # Offensive documents are mostly harmless, and some labels are wrong. Their sentences are silent at first; one gets its
+    # document's label when its neighbours agree, those labelled by hand and those confirmed before it; the rounds spread it.
+    model = Model(sentences, n_hand, reader, vocabulary, read, idf)
+    asked = np.array([i for i in range(n_hand, len(sentences)) if categories[i] != "none"], dtype=np.int64)
+    terms, owner, _ = vocabulary.tokens([read[i] for i in asked])
+    order = np.argsort(owner, kind="stable")
+    terms, owner = terms[order], owner[order]
+    begin = np.searchsorted(owner, np.arange(len(asked) + 1))
+    final, kept = categories[:n_hand] + ["none"] * (len(sentences) - n_hand), set()
     for _ in range(ROUNDS):
-        model = Model(sentences, final, n_hand, reader, vocabulary, idf)
-        kept = [i for i in range(n_hand, len(final)) if categories[i] != "none" and model.vote(tf[i], i, confirmed)[0] >= AGREE]
-        after = categories[:n_hand] + ["none"] * (len(final) - n_hand)
-        for i in kept:
-            after[i] = categories[i]
-        grown = confirmed.copy()
-        grown[kept] = True
-        if after == final and (grown == confirmed).all():
+        silent = np.zeros(len(sentences), bool)
+        silent[[i for i in asked.tolist() if i not in kept]] = True
+        model.label(final, silent)
+        near = model.index.possible(terms, owner, len(asked), NEAR) if len(asked) else []
+        now = {int(asked[k]) for k in near if model.vote(terms[begin[k] : begin[k + 1]], int(asked[k]))[0] >= AGREE}
+        if now == kept:
             break
-        final, confirmed = after, grown
-    return Model(sentences, final, n_hand, reader, vocabulary, idf)
+        kept = now
+        final = [c if i < n_hand or i in kept else "none" for i, c in enumerate(categories)]
+    return model.label(final)
+
 
+def frequencies(documents: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Inverse document frequency, over all documents, of each term of the examples (their vocabulary is bounded).
 
-def frequencies(documents: DataFrame, vocabulary: Vocabulary, reader: Reader) -> np.ndarray:
-    """Inverse document frequency, over all documents, of each term of the examples (their vocabulary is bounded)."""
+    Words are taken as they are written here.
+    """
 
     def kernel(c: dict, _) -> dict:
-        terms, owner = vocabulary.tokens([reader.words(t) if t else [] for t in c["text"]])
-        each = np.unique(terms[terms > 0] * len(c["text"]) + owner[terms > 0])
-        n = np.bincount(each // len(c["text"]), minlength=vocabulary.size)
+        n = np.zeros(vocabulary.size, dtype=np.int64)
+        for lo in range(0, len(c["text"]), 256):
+            texts = c["text"][lo : lo + 256]
+            terms, owner, first = vocabulary.tokens([_PLAIN.findall(fold(t)) if t else [] for t in texts])
+            there = np.zeros((len(texts), vocabulary.size), dtype=bool)
+            there[np.searchsorted(first, owner, "right") - 1, terms] = True
+            n += there.sum(axis=0)
         n[0] = len(c["text"])
         some = np.flatnonzero(n)
         return {"term": some, "n": n[some]}
@@ -301,21 +381,17 @@ def scores(documents: DataFrame, model: Model) -> DataFrame:
     """A row per document: doc_id, source, score, category, sentence, example (the last three null without evidence)."""
 
     def kernel(c: dict, m: Model) -> dict:
-        split = [m.reader.sentences(t) if t else [] for t in c["text"]]
-        flat = [s for ss in split for s in ss]
-        of = np.repeat(np.arange(len(split)), [len(ss) for ss in split])
         best: dict[int, tuple[float, int, int]] = {}
-        for i, v, e in m.votes([m.reader.words(s) for s in flat]):
-            d = int(of[i])
+        for d, i, v, e in m.votes(c["text"]):
             if v > best.get(d, (0.0, 0, 0))[0]:
                 best[d] = v, i, e
-        found = [best.get(d) for d in range(len(split))]
+        found = [best.get(d) for d in range(len(c["text"]))]
         return {
             "doc_id": c["doc_id"],
             "source": c["source"],
             "score": [round(b[0], 6) if b else 0.0 for b in found],
             "category": [m.categories[b[2]] if b else None for b in found],
-            "sentence": [flat[b[1]] if b else None for b in found],
+            "sentence": [m.reader.sentences(t)[b[1]].strip() if b else None for t, b in zip(c["text"], found)],
             "example": [m.sentences[b[2]] if b else None for b in found],
         }
 

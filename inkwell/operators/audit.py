@@ -35,7 +35,7 @@ def order_statistics(df: DataFrame, by: Sequence[str], value: str, points: dict[
     run = hist.withColumn("upto", F.sum("c").over(w.orderBy(value))).withColumn("n", F.sum("c").over(w))
     at = lambda a, b: F.floor(F.col("n") * a / b)
     picks = [F.max(F.when((F.col("upto") > at(a, b)) & (F.col("upto") - F.col("c") <= at(a, b)), F.col(value))).alias(k) for k, (a, b) in points.items()]
-    return run.groupBy(*by).agg(F.max("n").alias("n"), *picks)
+    return run.groupBy(*by).agg(F.max("n").alias("n"), *picks).where("n is not null")
 
 
 def histogram(df: DataFrame, value: str, edges: Sequence[int]) -> DataFrame:

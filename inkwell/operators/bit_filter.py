@@ -20,16 +20,16 @@ def bit_filter(keys: DataFrame, columns: list[str]) -> Callable[[DataFrame], Dat
     place = F.pmod(F.xxhash64(*columns), F.lit(1 << BITS))
     table = (
         keys.select(place.alias("place"))
-        .groupBy(F.bitmap_bucket_number("place").alias("bucket_no"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        .groupBy(F.bitmap_bucket_number("place").alias("_bucket_no"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
     )
 
     def keep(df: DataFrame) -> DataFrame:
-        placed = df.withColumn("place_of_key", place)
-        at = F.bitmap_bit_position("place_of_key")
-        byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        placed = df.withColumn("_place_of_key", place)
+        at = F.bitmap_bit_position("_place_of_key")
+        byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         bit = F.getbit(byte, (at % 8).cast("int")) == 1
-        joined = placed.join(F.broadcast(table), F.bitmap_bucket_number("place_of_key") == F.col("bucket_no"))
+        joined = placed.join(F.broadcast(table), F.bitmap_bucket_number("_place_of_key") == F.col("_bucket_no"))
         return joined.where(bit).select(*[df[c] for c in df.columns])
 
     return keep

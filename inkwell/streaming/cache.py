@@ -2,7 +2,7 @@
 
 The key is the rounded head of the question's vector and top_k, so one question with two depths is two entries. An entry
 that is there is refreshed, its answer kept; an entry not asked for within ``idle_ms`` of processing time goes, which bounds
-the state. Questions of one batch and key are taken in order of their id. Questions without a key are dropped before.
+the state (and keeps batches coming, so the stream is run until stopped, not by availableNow). Questions of one batch and key are taken in order of their id. Questions without a key are dropped before.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ def test_window_pieces_keep_the_budget(parts, budget):
     text = " ".join(parts)
     pieces = K.window_pieces(text, budget, 2)
     words = text.split()
-    assert set(words) <= set(" ".join(pieces).split())
+    bare = lambda t: {w.strip(".") for w in t.split()} - {""}
+    assert bare(text) <= bare(" ".join(pieces))
     if all(K.n_tokens(w + " ") * 2 + 2 <= budget for w in words):
         assert all(K.n_tokens(p) <= budget + 2 for p in pieces)
 

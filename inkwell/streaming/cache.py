@@ -17,8 +17,11 @@ OUT = "key string, qid bigint, answer string, hit boolean"
 STATE = "answer string, hits bigint"
 
 
-def cached_answers(questions: DataFrame, idle_ms: int = 3_600_000) -> DataFrame:
-    """Of a stream ``questions(key, qid, answer)``, where answer is what a fresh run gives: the answer served and hit."""
+def cached_answers(questions: DataFrame, idle_ms: int | None = 3_600_000) -> DataFrame:
+    """Of a stream ``questions(key, qid, answer)``, where answer is what a fresh run gives: the answer served and hit.
+
+    With ``idle_ms`` None nothing is forgotten and the stream may end (availableNow).
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -33,7 +36,9 @@ def cached_answers(questions: DataFrame, idle_ms: int = 3_600_000) -> DataFrame:
             out.append((key[0], qid, answer, hit))
         if answer is not None:
             state.update((answer, hits))
-            state.setTimeoutDuration(idle_ms)
+            if idle_ms is not None:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=["key", "qid", "answer", "hit"])
 
-    return questions.where("key is not null").groupBy("key").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return questions.where("key is not null").groupBy("key").applyInPandasWithState(step, OUT, STATE, "append", timeout)

@@ -22,8 +22,7 @@ def test_cached_answers(spark, tmp_path):
     src = str(tmp_path / "q")
     rows.coalesce(1).write.parquet(src)
     stream = spark.readStream.schema(rows.schema).parquet(src)
-    q = cache.cached_answers(stream).writeStream.format("memory").queryName("served").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
-    q.processAllAvailable()  # an idle timeout keeps batches coming, so the stream is stopped by hand
-    q.stop()
+    q = cache.cached_answers(stream, idle_ms=None).writeStream.format("memory").queryName("served").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(60)
     got = {r.qid: (r.answer, r.hit) for r in spark.table("served").collect()}
     assert got == {1: ("first", False), 2: ("first", True), 3: ("other", False)}

@@ -168,9 +168,9 @@ class Postings:
 
     def __init__(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray, size: int, n: int):
         order = np.lexsort((doc, term))
-        term, self.doc, self.weight = term[order], doc[order], weight[order]
+        term, self.doc, self.weight = term[order], doc[order].astype(np.int32), weight[order]
         self.at = np.searchsorted(term, np.arange(size + 1))
-        self.n, self.blocks, self.home = n, -(-n // BLOCK), self.doc // BLOCK
+        self.n, self.blocks, self.home = n, -(-n // BLOCK), (self.doc // BLOCK).astype(np.int32)
         key = term * max(1, self.blocks) + self.home
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         self.block = self.home[first]
@@ -207,16 +207,17 @@ class BlockMaxIndex:
         norm = np.sqrt(np.bincount(doc, weight**2, n))
         weight = weight / np.maximum(norm[doc], 1e-12)
         known = term > 0
-        self.term, self.doc, self.weight = term[known], doc[known], weight[known]
-        self.all = Postings(self.term, self.doc, self.weight, len(idf), n)
+        self.raw = term[known], doc[known], weight[known]
+        self.all = Postings(*self.raw, len(idf), n)
 
     def set_offensive(self, offensive: np.ndarray) -> None:
         """Says which examples are offensive."""
         place = np.cumsum(offensive) - 1
-        m = offensive[self.doc]
-        self.hot = Postings(self.term[m], place[self.doc[m]], self.weight[m], len(self.idf), int(offensive.sum()))
+        term, doc, weight = self.raw
+        m = offensive[doc]
+        self.hot = Postings(term[m], place[doc[m]], weight[m], len(self.idf), int(offensive.sum()))
         self.high = np.zeros(len(self.idf))
-        np.maximum.at(self.high, self.term[m], self.weight[m])
+        np.maximum.at(self.high, term[m], weight[m])
 
     def possible(self, terms: np.ndarray, owner: np.ndarray, n: int, least: float) -> np.ndarray:
         """Which of ``n`` queries may have an offensive example at least ``least`` similar; none that has one is left out."""
@@ -347,7 +348,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
             break
         kept = now
         final = [c if i < n_hand or i in kept else "none" for i, c in enumerate(categories)]
-    return model.label(final)
+    model.label(final)
+    model.index.raw = None  # only for labelling; a copy less to send
+    return model
 
 
 def frequencies(documents: DataFrame, vocabulary: Vocabulary) -> np.ndarray:

@@ -176,24 +176,30 @@ class Postings:
         self.block = self.home[first]
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.block_at = np.searchsorted(term[first], np.arange(size + 1))
+        self.begin, self.length = first, np.diff(np.append(first, len(self.doc)))
+        del self.home, self.at
 
-    def similar(self, terms: list[int], x: list[float], least: float) -> np.ndarray | None:
-        """Sums over the lists; exact for examples that reach ``least``, None if by the blocks' bounds none can."""
-        bound = np.zeros(self.blocks)
-        for t, q in zip(terms, x):
-            a, b = self.block_at[t], self.block_at[t + 1]
-            if a < b:
-                bound[self.block[a:b]] += q * self.most[a:b]
+    def similar(self, terms: np.ndarray, x: np.ndarray, least: float) -> np.ndarray | None:
+        """Sums over the lists; exact for examples that reach ``least``, None if by the blocks' bounds none can.
+
+        Only the parts of the lists that lie in blocks whose bound reaches ``least`` are read.
+        """
+        a, n = self.block_at[terms], self.block_at[terms + 1] - self.block_at[terms]
+        parts = _ranges(a, n)
+        q = np.repeat(x, n)
+        bound = np.bincount(self.block[parts], q * self.most[parts], self.blocks)
         open_ = bound >= least
         if not open_.any():
             return None
-        sums = np.zeros(self.n)
-        for t, q in zip(terms, x):
-            a, b = self.at[t], self.at[t + 1]
-            if a < b:
-                m = open_[self.home[a:b]]
-                sums[self.doc[a:b][m]] += q * self.weight[a:b][m]
-        return sums
+        m = open_[self.block[parts]]
+        parts, q = parts[m], q[m]
+        at = _ranges(self.begin[parts], self.length[parts])
+        return np.bincount(self.doc[at], np.repeat(q, self.length[parts]) * self.weight[at], self.n)
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of each range, one range after the other."""
+    return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
 
 class BlockMaxIndex:
@@ -231,7 +237,7 @@ class BlockMaxIndex:
         t, count = np.unique(terms, return_counts=True)
         x = count * self.idf[t]
         norm = float(np.sqrt((x**2).sum())) or 1.0
-        query = t[t > 0].tolist(), x[t > 0].tolist()
+        query = t[t > 0], x[t > 0]
         hot = self.hot.similar(*query, least * norm)
         if hot is None or hot.max() < least * norm:
             return np.zeros(0, dtype=np.int64), np.zeros(0)

@@ -8,12 +8,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegralType, _parse_datatype_string
 
 RRF_K = 60
 #: Vectors a block; a task scores one block of queries against one of vectors.
 BLOCK = 2000
+#: Texts a block of sparse search; a block of queries has an eighth as many.
+SPARSE_BLOCK = 4000
+#: A token is multiplied by matrix if it meets in one of so many pairs of texts at least.
+SELDOM = 400
 
 
 def normalised(v: Column) -> Column:
@@ -68,15 +75,18 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rk", F.row_number().over(w).cast("bigint")).where(F.col("rk") <= k)
 
 
+def token_counts(texts: DataFrame) -> DataFrame:
+    """Token counts of ``texts(id, text)`` over lower-case letter runs, every token of every text: token, id, w."""
+    tokens = texts.select("id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token"))
+    return tokens.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
+
+
 def postings(texts: DataFrame, rarer_than: int = 10) -> DataFrame:
-    """Token counts of ``texts(id, text)`` over lower-case letter runs: token, id, w.
+    """Token counts of ``texts(id, text)`` without tokens of more than one in ``rarer_than`` texts: token, id, w.
 
-    The weight passes a rectifier on rarity: tokens of more than one in ``rarer_than`` texts weigh nothing and are left
-    out, as a learned sparse head does with stop words; this also keeps the join on tokens from growing with the square of
-    the texts.
+    A cut, for callers that want a stop-word head; the queries score ``token_counts``, all tokens.
     """
-    tokens = texts.select("id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token"))
-    tf = tokens.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
+    tf = token_counts(texts)
     total = texts.where("text is not null").agg(F.count(F.lit(1)).alias("n_texts"))
     df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     rare = df.join(F.broadcast(total), F.col("df") * rarer_than <= F.col("n_texts")).select("token")
@@ -92,12 +102,89 @@ def max_pooled(weights: DataFrame) -> DataFrame:
     return pooled.groupBy("id", F.trim("token").alias("token")).agg(F.round(F.max_by("w", "token_id"), 4).alias("w"))
 
 
-def sparse_topk(queries: DataFrame, posts: DataFrame, k: int) -> DataFrame:
-    """The ``k`` texts of largest token product for each query, of postings (token, id, w): qid, did, score, rk."""
-    q = queries.select("token", F.col("id").alias("qid"), F.col("w").alias("qw"))
-    d = posts.select("token", F.col("id").alias("did"), "w")
-    scored = q.join(d, "token").groupBy("qid", "did").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
-    return ranked(scored.where("score > 0"), k)
+def _inverted_blocks(posts: DataFrame, n: int, name: str) -> DataFrame:
+    """Postings packed into ``n`` blocks by a hash of their text: a token once in each, numbers as narrow as they allow."""
+    keyed = posts.where("token is not null and id is not null").select(F.pmod(F.xxhash64("id"), F.lit(n)).alias("no"), "token", "id", "w")
+    schema = f"{name}_no bigint, {name} struct<token:array<string>,ends:array<bigint>,ids:array<bigint>,place:binary,w:binary,kinds:string>"
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def pack(key, table):
+        ids, place = np.unique(table["id"].to_numpy(), return_inverse=True)
+        token = table["token"].combine_chunks().dictionary_encode()
+        code = token.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        place, w = place[order].astype(np.min_scalar_type(len(ids))), table["w"].to_numpy()[order]
+        if w.dtype.kind == "i" and w.min() >= 0:
+            w = w.astype(np.min_scalar_type(w.max()))
+        ends = np.cumsum(np.concatenate(([0], np.bincount(code, minlength=len(token.dictionary)))))
+        block = {"token": token.dictionary.to_pylist(), "ends": ends.tolist(), "ids": ids.tolist(), "place": place.tobytes(), "w": w.tobytes(), "kinds": f"{place.dtype.str} {w.dtype.str}"}
+        return pa.Table.from_pylist([{f"{name}_no": key[0].as_py(), name: block}], schema=arrow)
+
+    return keyed.groupBy("no").applyInArrow(pack, schema)
+
+
+def _read_block(column: pa.StructArray, row: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of an inverted block: its tokens, where each one's postings begin, their texts' places, weights, and the sorted text ids."""
+    x = column[row]
+    place, w = x["kinds"].as_py().split()
+    return (
+        x["token"].values, x["ends"].values.to_numpy(), np.frombuffer(x["place"].as_buffer(), place).astype(np.int64),
+        np.frombuffer(x["w"].as_buffer(), w).astype(float), x["ids"].values.to_numpy(),
+    )
+
+
+def _met_scores(q: tuple, d: tuple) -> np.ndarray:
+    """Token products of all texts of two inverted blocks: tokens frequent in both by matrices, the others one at a time."""
+    at = pc.index_in(d[0], value_set=q[0])
+    of_d = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+    of_q = at.drop_null().to_numpy(zero_copy_only=False)
+    s = np.zeros((len(q[4]), len(d[4])))
+    often = np.diff(q[1])[of_q] * np.diff(d[1])[of_d] * SELDOM >= s.size
+    heavy = np.flatnonzero(often)
+    for lo in range(0, len(heavy), 256):
+        some = heavy[lo : lo + 256]
+        a, b = np.zeros((len(q[4]), len(some))), np.zeros((len(some), len(d[4])))
+        for j, (x, y) in enumerate(zip(of_q[some], of_d[some])):
+            p, r = slice(q[1][x], q[1][x + 1]), slice(d[1][y], d[1][y + 1])
+            np.add.at(a[:, j], q[2][p], q[3][p])
+            np.add.at(b[j], d[2][r], d[3][r])
+        s += a @ b
+    for x, y in zip(of_q[~often], of_d[~often]):
+        p, r = slice(q[1][x], q[1][x + 1]), slice(d[1][y], d[1][y + 1])
+        np.add.at(s, (q[2][p][:, None], d[2][r]), q[3][p][:, None] * d[3][r])
+    return s
+
+
+def sparse_topk(queries: DataFrame, posts: DataFrame, k: int, block: int = SPARSE_BLOCK) -> DataFrame:
+    """The ``k`` texts of largest token product for each query, of postings (token, id, w): qid, did, score, rk.
+
+    All shared tokens count. Blocks of queries meet blocks of texts, so a frequent token is never joined row by row, and
+    each meeting gives its best ``k`` a query only. Ids are whole numbers. Sums are made in doubles, which are exact for whole
+    weights while they stay below 2^53.
+    """
+    blocks = lambda df, most: max(1, -(-df.agg(F.approx_count_distinct("id")).first()[0] // most))
+    nq, nd = blocks(queries, max(1, block // 8)), blocks(posts, block)
+    whole = all(isinstance(df.schema["w"].dataType, IntegralType) for df in (queries, posts))
+    pairs = queries.sparkSession.range(nq * nd).select(F.expr(f"id div {nd}").alias("q_no"), F.expr(f"id % {nd}").alias("d_no"))
+    met = pairs.join(_inverted_blocks(queries, nq, "q"), "q_no").join(_inverted_blocks(posts, nd, "d"), "d_no").select("q", "d")
+
+    def score(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                q, d = _read_block(batch.column(0), row), _read_block(batch.column(1), row)
+                met = _met_scores(q, d)
+                for lo in range(0, len(met), 100):
+                    s = met[lo : lo + 100]
+                    n = min(k, s.shape[1])
+                    least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n, None]
+                    above, tied = s > least, s == least
+                    # texts stand in the order of their ids: of ties the smaller ones stay
+                    tied &= np.cumsum(tied, axis=1, dtype=np.int32) <= n - above.sum(axis=1, keepdims=True)
+                    x, y = np.nonzero((above | tied) & (s > 0))
+                    best = np.rint(s[x, y]).astype(np.int64) if whole else s[x, y]
+                    yield pa.RecordBatch.from_arrays([pa.array(q[4][lo + x], pa.int64()), pa.array(d[4][y], pa.int64()), pa.array(best)], names=["qid", "did", "score"])
+
+    return ranked(met.mapInArrow(score, f"qid bigint, did bigint, score {'bigint' if whole else 'double'}"), k)
 
 
 def fused(dense: DataFrame, sparse: DataFrame, keep: int, k: int = RRF_K) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import retrieval as R
 from inkwell.plans.registry import query
+from inkwell.sources.shared import materialise
 from inkwell.sources.tables import table
 
 QUERY = "id % 20 = 0"
@@ -37,7 +38,7 @@ def _dense(spark, sf, k=100):
 
 
 def _sparse(spark, sf, k=100):
-    p = R.postings(_texts(spark, sf))
+    p = materialise(R.token_counts(_texts(spark, sf)))
     return R.sparse_topk(p.where(QUERY), p, k)
 
 
@@ -80,7 +81,7 @@ def reranked_topk(spark, sf):
 
 @query(f"with {_TF} select token, id, w from tf")
 def postings(spark, sf):
-    return R.postings(_texts(spark, sf))
+    return R.token_counts(_texts(spark, sf))
 
 
 @query("""with t as (select chunk_row id, unnest(regexp_extract_all(lower(body), '\\p{L}+')) token from chunks where body is not null),

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,3 +81,21 @@ def test_bit_filter_drops_no_key(spark):
     kept = {r.id for r in bit_filter(keys, ["tbl", "id"])(rows).collect()}
     assert {i for i in range(500) if i % 50 == 0} <= kept and len(kept) < 50
     assert bit_filter(keys.where("false"), ["tbl", "id"])(rows).count() == 0
+
+
+def test_sparse_counts_all_tokens_as_brute_force_does(spark):
+    rng = np.random.default_rng(4)
+    words = ["letter", "witness", "the"] + ["w" + "abcdefghij"[i] * 2 for i in range(10)]
+    texts = [(i, " ".join(rng.choice(words, 12, p=[0.2, 0.2, 0.2] + [0.04] * 10))) for i in range(60)] + [(97, None), (98, "?!"), (99, "LETTER letter")]
+    p = R.token_counts(spark.createDataFrame(texts, "id long, text string"))
+    counts = {i: Counter((t or "").lower().split()) for i, t in texts if t != "?!"}
+    assert {(r.id, r.token, r.w) for r in p.collect()} == {(i, t, n) for i, c in counts.items() for t, n in c.items()}
+    for block in (8, 4000):
+        got = {(r.qid, r.rk): (r.did, r.score) for r in R.sparse_topk(p.where("id % 3 = 0"), p, 5, block).collect()}
+        want = {}
+        for q in [i for i in counts if i % 3 == 0]:
+            s = sorted(((-sum(n * c[t] for t, n in counts[q].items()), d) for d, c in counts.items()))
+            want |= {(q, k + 1): (d, -v) for k, (v, d) in enumerate([x for x in s if x[0] < 0][:5])}
+        assert got == want
+    few = R.token_counts(spark.createDataFrame([(1, "a b"), (2, "b c")], "id long, text string"))
+    assert {(r.qid, r.did): r.score for r in R.sparse_topk(few, few, 5).collect()} == {(1, 1): 2, (1, 2): 1, (2, 2): 2, (2, 1): 1}

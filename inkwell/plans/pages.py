@@ -13,17 +13,20 @@ def _safe(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+def _turn(t):
+    """A turn under its label as stored; without one its text is a paragraph that follows the turn before."""
+    label = F.when(t["speaker"].rlike(r"(?U)\S"), F.concat(F.lit("<b>"), _safe(t["speaker"]), F.lit(":</b> ")))
+    return F.concat(F.lit("<p>"), F.coalesce(label, F.lit("")), _safe(F.coalesce(t["text"], F.lit(""))), F.lit("</p>"))
+
+
 def _hearings(spark, sf):
     s = table(spark, sf, "session_documents")
-    bold = F.transform(
-        F.filter("turns", lambda t: F.coalesce(t["speaker"], F.lit("")).rlike("^[A-Z][A-Z .]+$")),
-        lambda t: F.concat(F.lit("<p><b>"), t["speaker"], F.lit(":</b> "), _safe(F.coalesce(t["text"], F.lit(""))), F.lit("</p>")),
-    )
+    said = F.transform("turns", _turn)
     marks = F.array_join(F.transform("page_numbers", lambda n: F.concat(F.lit('<a name="'), n.cast("string"), F.lit('"></a>'))), "")
     links = F.array_join(F.transform("inline_links", lambda x: F.concat(F.lit('<a href="'), x["href"], F.lit('">'), _safe(x["text"]), F.lit("</a>"))), "")
     body = F.concat(
         F.lit('<html><body><table class="site-menu"><tr><td><a href="/">Home</a></td></tr></table><div class="text-properties"><div class="document-title">'),
-        _safe(F.coalesce("title", F.lit(""))), F.lit("</div>"), marks, F.array_join(bold, "\n"), links, F.lit("</div></body></html>"),
+        _safe(F.coalesce("title", F.lit(""))), F.lit("</div>"), marks, F.array_join(said, "\n"), links, F.lit("</div></body></html>"),
     )
     return s.select(F.col("session_id"), F.col("url").alias("page_url"), body.alias("html")).select(F.concat("page_url", F.lit("?"), "session_id").alias("url"), "html")
 

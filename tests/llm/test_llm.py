@@ -50,6 +50,16 @@ def test_pairs_equal_brute_force(spark):
     assert near_duplicates.expanded(empty_members, empty_pairs).count() == 0
 
 
+def test_pairs_at_the_bound_are_seldom_lost(spark):
+    rows = []
+    for i in range(400):  # 90 common 3-grams of 150: a similarity of exactly 0.6
+        common = " ".join(f"p{i}c{j}" for j in range(92))
+        rows += [("t", 2 * i + k, common + " " + " ".join(f"p{i}k{k}u{j}" for j in range(30))) for k in (0, 1)]
+    _, pairs = near_duplicates.similar_pairs(spark.createDataFrame(rows, "tbl string, id long, text string"), 3, 0.6, 30)
+    got = {(r.rep_a, r.rep_b) for r in pairs.collect()}
+    assert got <= {(2 * i, 2 * i + 1) for i in range(400)} and len(got) >= 395
+
+
 # 2
 @given(st.lists(st.integers(-5, 5).map(float), max_size=12))
 def test_best_run_is_maximal(scores):

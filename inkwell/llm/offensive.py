@@ -28,8 +28,8 @@ from inkwell.llm.batches import map_columns
 
 #: Neighbours that vote, the least similarity of a neighbour, and examples a block.
 K, NEAR, BLOCK = 15, 0.25, 32
-#: Bounds of the sample of labelled documents: offensive and harmless ones, and sentences of one.
-MAX_OFFENSIVE, MAX_HARMLESS, MAX_SENTENCES = 1000, 1000, 40
+#: Bounds of the sample of labelled documents: offensive and harmless ones, each with all its sentences.
+MAX_OFFENSIVE, MAX_HARMLESS = 1000, 1000
 #: Share of the vote that keeps a sentence's offensive label in training, and rounds of that at most.
 AGREE, ROUNDS = 0.6, 4
 #: Score from which a document counts as offensive.
@@ -325,7 +325,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     reader = Reader()
     seen = set(sentences)
     for r in rows:
-        for s in [x.strip() for x in reader.sentences(r.text) if x.strip()][:MAX_SENTENCES]:
+        for s in [x.strip() for x in reader.sentences(r.text) if x.strip()]:
             if s not in seen and len(s) > 8:
                 seen.add(s)
                 sentences.append(s)

@@ -211,6 +211,14 @@ def test_near_is_exact_and_scores(spark):
     assert offensive.rates(scored).where("source = 's'").first().offensive == 1
 
 
+def test_examples_are_taken_from_the_whole_text(spark):
+    long = " ".join(f"The {WORDS[i]} clerk counted the {WORDS[i + 1]} boxes." for i in range(70))
+    documents = spark.createDataFrame([(1, long, "a"), (2, "The widow wrote a letter.", "a")], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(1, "abuse"), (2, "none")], "doc_id long, category string")
+    sentences = {s.rstrip(".") for s in offensive.train(documents, labels).sentences}
+    assert all(f"the {WORDS[i]} clerk counted the {WORDS[i + 1]} boxes" in sentences for i in range(70))
+
+
 def test_word_hashes_forget_beyond_their_bound():
     h = WordHashes()
     h.BOUND = 2

@@ -44,7 +44,7 @@ def cited_answers(spark, sf):
     # an answer for each passage that cites sources 1 to 5 in several spellings, of three that it was given
     c = table(spark, sf, "chunks")
     i = F.pmod(F.col("chunk_row"), F.lit(5)) + 1
-    said = F.concat(F.lit("[[SOURCE "), i, F.lit("]] and (SOURCE 2, p. 5) plus SOURCE 3. "), F.left("body", F.lit(200)), F.lit("\n\nSources cited: [SOURCE 1]"))
+    said = F.concat(F.lit("[[SOURCE "), i, F.lit("]] and (SOURCE 2, p. 5) plus SOURCE 3. "), F.col("body"), F.lit("\n\nSources cited: [SOURCE 1]"))
     return W.verified(c.select(F.col("chunk_row").alias("id"), said.alias("answer"), F.lit(3).alias("num_sources")))
 
 

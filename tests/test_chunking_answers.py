@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import answers as W
 from inkwell.operators import chunking as K
+from inkwell.plans.registry import queries
 
 
 def test_greedy_packing_example(spark):
@@ -69,3 +70,10 @@ def test_context_budget(spark):
     blocks = F.transform(F.sort_array(F.collect_list(F.struct("n", block.alias("b")))), lambda x: x["b"])
     got = df.agg(blocks.alias("x")).select(W.context_block(F.col("x"), 100).alias("t")).first().t
     assert got.startswith("[SOURCE 1 | c | date unknown | speaker: - | page: ? | slug: s]\nbbb") and got.endswith("...  [truncated]") and "never" not in got
+
+
+def test_answers_hold_whole_passages(spark, tmp_path):
+    body = " ".join(f"word{i}" for i in range(100))
+    spark.createDataFrame([(1, body), (2, None)], "chunk_row long, body string").write.parquet(str(tmp_path / "chunks.parquet"))
+    got = {r.id: r.verified for r in queries()["cited_answers"](spark, str(tmp_path)).collect()}
+    assert body in got[1] and got[2] == ""

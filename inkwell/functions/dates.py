@@ -52,12 +52,33 @@ def inferred_date(stem: Column, by_type: Column, text: Column) -> tuple[Column,
     return F.coalesce(name, by_type, body), source
 
 
+# How a hearing's day and its adjournment are written.
+_WRITTEN = r"(\d{1,2}\s+\w+\s+19\d{2})"
+_ADJOURNED = rf"(?i)(?:tribunal\s+)?adjourned?\s+(?:until|to|till)\s+(?:(?:{DAYS}),?\s+)?{_WRITTEN}"
+_ADJOURNS = r"(?i)will\s+now\s+adjourn|tribunal\s+will\s+(?:now\s+)?adjourn|we\s+will\s+adjourn\s+now|court\s+(?:will\s+)?adjourn|adjourned\s+(?:sine\s+die|indefinitely)"
+_HEADERS = (
+    rf"(?is)sitting at\s+\S.*?on\s+{_WRITTEN}", rf"(?is)official\s+transcript.*?on\s+{_WRITTEN}",
+    rf"(?im)^(?:{DAYS}),?\s+{_WRITTEN}",
+)
+
+
+def _spoken_day(found: Column) -> Column:
+    """A day and a month's full name in any case."""
+    return _day(F.initcap(F.regexp_replace(found, r"\s+", " ")), "d MMMM yyyy")
+
+
+def header_date(text: Column) -> Column:
+    """The day a transcript's own header names in its first 2000 characters; days of exhibits are not taken."""
+    head = F.left(text, F.lit(2000))
+    return F.coalesce(*[_spoken_day(F.regexp_extract(head, p, 1)) for p in _HEADERS])
+
+
 def adjournment(text: Column) -> tuple[Column, Column]:
     """The last day named after 'adjourned until' in the last 3000 characters, and DATE, OPEN or null for what was found."""
     tail = F.right(text, F.lit(3000))
-    said = F.regexp_extract_all(tail, F.lit(rf"(?i)adjourned (?:until|to|till) (?:(?:{DAYS}),? )?(\d{{1,2}} (?:{MONTHS}) \d{{4}})"), F.lit(1))
-    day = _day(F.when(F.size(said) > 0, F.element_at(said, -1)), "d MMMM yyyy")
-    kind = F.when(day.isNotNull(), "DATE").when(tail.rlike(r"(?i)adjourned (?:sine die|indefinitely)"), "OPEN")
+    said = F.regexp_extract_all(tail, F.lit(_ADJOURNED), F.lit(1))
+    day = _spoken_day(F.when(F.size(said) > 0, F.element_at(said, -1)))
+    kind = F.when(F.size(said) > 0, F.when(day.isNotNull(), "DATE")).when(tail.rlike(_ADJOURNS), "OPEN")
     return day, kind
 
 

@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHARS_A_TOKEN = 4
+# How citations are written, and how an answer says that the sources are silent.
 _NUMBER = r"(?i)\[SOURCE\s+(\d+)\]"
+_SPELLINGS = (r"(?i)\[\[SOURCE\s+(\d+)\]\]?", r"(?i)\(SOURCE\s+(\d+)[^)]*\)", r"(?i)\bSOURCE\s+(\d+)\]", r"(?i)\bSOURCE\s+(\d+)(?=[,.\s])", r"(?i)\[\[SOURCE\s+(\d+)\]")
+_SILENT = r"(?i)^(?:The provided sources|According to the provided sources)"
 
 
 def source_block(n: Column, collection: Column, date: Column, speaker: Column, page: Column, slug: Column, body: Column) -> Column:
@@ -51,7 +54,7 @@ def user_message(question: Column, context: Column) -> Column:
 def normalised_citations(answer: Column) -> Column:
     """All spellings of a citation as [SOURCE n]; the order of the rewrites matters."""
     a = F.coalesce(answer, F.lit(""))
-    for pattern in (r"(?i)\[\[SOURCE\s+(\d+)\]\]?", r"(?i)\(SOURCE\s+(\d+)[^)]*\)", r"(?i)\bSOURCE\s+(\d+)\]", r"(?i)\bSOURCE\s+(\d+)(?=[,.\s])", r"(?i)\[\[SOURCE\s+(\d+)\]"):
+    for pattern in _SPELLINGS:
         a = F.regexp_replace(a, pattern, "[SOURCE $1]")
     return a
 
@@ -85,7 +88,7 @@ def verified(answers: DataFrame) -> DataFrame:
     paragraphs = F.filter(F.transform(F.split(body, r"\n\s*\n"), lambda p: F.trim(p)), lambda p: p != "")
     bare = F.filter(
         paragraphs,
-        lambda p: (F.length(p) > 40) & ~p.rlike(_NUMBER) & ~p.rlike(r"(?i)^(?:The provided sources|According to the provided sources)"),
+        lambda p: (F.length(p) > 40) & ~p.rlike(_NUMBER) & ~p.rlike(_SILENT),
     )
     n = n.withColumn("uncited_paragraphs", F.transform(bare, lambda p: F.when(F.length(p) > 120, F.concat(F.left(p, F.lit(120)), F.lit("..."))).otherwise(p)))
     return n.select(

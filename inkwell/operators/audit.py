@@ -6,6 +6,8 @@ said otherwise. Empty tables give no group, and one row of zeros where a single
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,3 +78,23 @@ def keep_last(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     rest = [c for c in df.columns if c not in by and c != order]
     best = df.groupBy(*by).agg(F.max_by(F.struct(order, *rest), F.col(order)).alias("x"))
     return best.select(*by, "x.*")
+
+
+def numbered(df: DataFrame, by: list[str], order: str, width: int = 1 << 16) -> DataFrame:
+    """Rows with their place in their group (from 0, in the order of the whole-number column ``order``) and the group's rows:
+    adds place, group_rows.
+
+    A group is cut into stretches of ``width`` values of ``order``, which are numbered apart and shifted by the sizes of
+    the stretches before; so a group of any size is spread over many tasks. Null keys are a group, null orders come first,
+    ties are numbered in any order.
+    """
+    keyed = df.withColumn("_stretch", F.floor(F.col(order) / width))
+    keys = [*by, "_stretch"]
+    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(*by)
+    before = F.sum("_rows").over(group.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = sizes.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_rows").over(group).alias("group_rows"))
+    within = keyed.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
+    same = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
+    joined = within.join(shifts, functools.reduce(lambda a, b: a & b, same))
+    return joined.withColumn("place", F.col("_before") + F.col("_at")).drop("_stretch", "_at", "_before", *[f"_s{i}" for i in range(len(keys))])

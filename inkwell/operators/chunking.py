@@ -11,6 +11,8 @@ words are skipped. A unit above the budget becomes a passage of its own.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,16 +53,17 @@ def sentence_pieces(text: Column, budget: int) -> Column:
 
 def packed_turns(turns: DataFrame, budget: int = SESSION_TARGET, longest: int = SESSION_MAX) -> DataFrame:
     """Passages of ``turns(doc, turn_no, speaker, text, page)``: doc, chunk_index, n_turns, speaker and page of the first
-    turn, tokens (of the units), body. A turn above ``longest`` is first cut after sentences."""
-    kept = turns.where(F.trim(F.coalesce("text", F.lit(""))) != "")
-    units = F.when(offline_tokens(F.col("text")) > longest, sentence_pieces(F.col("text"), budget)).otherwise(F.array("text"))
+    turn, tokens (of the units with their labels), body. A turn above ``longest`` is first cut after sentences."""
+    kept = turns.where(F.trim(F.coalesce("text", F.lit(""))) != "").withColumn("text", F.trim("text"))
+    units = F.when(offline_tokens(F.col("text")) > longest, sentence_pieces(F.col("text"), longest)).otherwise(F.array("text"))
     pieces = kept.select("doc", "turn_no", "speaker", "page", F.posexplode(units).alias("part", "unit"))
+    label = F.when(F.coalesce("speaker", F.lit("")) != "", F.concat("speaker", F.lit(": ")))
+    pieces = pieces.withColumn("unit", F.concat(F.coalesce(label, F.lit("")), F.trim("unit")))
     row = F.struct("turn_no", "part", "speaker", "page", "unit", offline_tokens(F.col("unit")).alias("t"))
     docs = pieces.groupBy("doc").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     ids = pack_ids(F.col("rows.t"), budget)
     each = docs.select("doc", F.posexplode(F.arrays_zip(ids.alias("i"), F.col("rows").alias("r"))).alias("k", "x"))
-    said = F.when(F.coalesce("x.r.speaker", F.lit("")) != "", F.concat("x.r.speaker", F.lit(": "), "x.r.unit")).otherwise(F.col("x.r.unit"))
-    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", said.alias("s")))), lambda y: y["s"]), "\n")
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", F.col("x.r.unit").alias("s")))), lambda y: y["s"]), "\n")
     return each.groupBy("doc", F.col("x.i").cast("bigint").alias("chunk_index")).agg(
         F.count_distinct("x.r.turn_no").alias("n_turns"), F.min_by("x.r.turn_no", "k").cast("bigint").alias("first_turn"),
         F.min_by("x.r.speaker", "k").alias("speaker"), F.min_by("x.r.page", "k").cast("bigint").alias("page"),
@@ -70,32 +73,28 @@ def packed_turns(turns: DataFrame, budget: int = SESSION_TARGET, longest: int =
 
 def tail_of(text: str, tokens: int) -> str:
     """The last whole words of a text that keep ``tokens``."""
-    kept, total = [], 0
-    for w in reversed(text.split()):
-        total += n_tokens(w)
-        if total > tokens:
-            break
-        kept.append(w)
-    return " ".join(reversed(kept))
-
-
-def _packed(parts: list[str], sep: str, budget: int, carry) -> list[str]:
-    """Parts joined while they keep the budget; the next piece begins with what ``carry`` takes over from the last."""
-    out, held, total = [], [], 0
-    for part in parts:
-        size = n_tokens(part + (sep or " "))
-        if held and total + size > budget:
-            done = sep.join(held)
-            out.append(done)
-            over = carry(done, held)
-            held = [*over, part]
-            total = n_tokens(sep.join(held))
-        else:
-            held.append(part)
-            total += size
-    if held:
-        out.append(sep.join(held))
-    return out
+    words = text.split()
+    from_the_end = list(accumulate(n_tokens(w) for w in reversed(words)))
+    return " ".join(words[len(words) - bisect_right(from_the_end, tokens) :])
+
+
+def _joined(parts: list[str], sep: str, budget: int, overlap: int) -> list[str]:
+    """Parts joined while they keep the budget; each piece after the first opens with the tail of the one before.
+
+    The cuts are found on the running sum of the parts' sizes: from where a piece's own size is known, the last part that
+    still fits is sought by bisection.
+    """
+    upto = [0, *accumulate(n_tokens(p + sep) for p in parts)]
+    at, opening, out = 0, parts[0], []
+    room = budget - upto[1]
+    while True:
+        end = max(at + 1, bisect_right(upto, upto[at + 1] + room) - 1)
+        out.append(sep.join([opening, *parts[at + 1 : end]]))
+        if end == len(parts):
+            return out
+        tail = tail_of(out[-1], overlap)
+        at, opening = end, sep.join([tail, parts[end]] if tail else [parts[end]])
+        room = budget - n_tokens(opening)
 
 
 def window_pieces(text: str, budget: int, overlap: int) -> list[str]:
@@ -103,18 +102,10 @@ def window_pieces(text: str, budget: int, overlap: int) -> list[str]:
     keeps every piece within the budget, else single words, of which a long one may still be above it."""
     if n_tokens(text) <= budget:
         return [text]
-
-    def last_text(done: str, _) -> list[str]:
-        tail = tail_of(done, overlap)
-        return [tail] if tail else []
-
-    for sep in ("\n\n", "\n", ". ", " "):
-        parts = text.split(sep)
-        if len(parts) > 1:
-            pieces = _packed(parts, sep, budget, last_text)
-            if max(map(n_tokens, pieces)) <= budget:
-                return pieces
-    return _packed(text.split(), " ", budget, lambda done, _: tail_of(done, overlap).split())
+    cut = ((text.split(sep), sep) for sep in ("\n\n", "\n", ". ", " "))
+    tries = (_joined(parts, sep, budget, overlap) for parts, sep in cut if len(parts) > 1)
+    fitting = (pieces for pieces in tries if all(n_tokens(p) <= budget for p in pieces))
+    return next(fitting, None) or _joined(text.split() or [""], " ", budget, overlap)
 
 
 #: Navigation lines that may stand before a text, and the length below which an unpunctuated line is one.
@@ -171,6 +162,7 @@ def split_documents(docs: DataFrame) -> DataFrame:
 
 def finished(bodies: DataFrame, docs: DataFrame) -> DataFrame:
     """The passage table of ``bodies(doc, chunk_index, body, speaker, page)`` and ``docs(doc, url, date_iso, collection)``."""
+    # a document's passages are one text's: their number is bounded by its length
     joined = bodies.join(docs.select("doc", "url", "date_iso", "collection", slug_of(F.col("url")).alias("slug")), "doc")
     header = context_header(F.col("date_iso"), F.col("slug"), F.col("speaker"), F.col("collection"), F.col("page"))
     text = F.concat(header, F.lit("\n"), "body")

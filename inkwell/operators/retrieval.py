@@ -81,18 +81,6 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return tokens.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
 
 
-def postings(texts: DataFrame, rarer_than: int = 10) -> DataFrame:
-    """Token counts of ``texts(id, text)`` without tokens of more than one in ``rarer_than`` texts: token, id, w.
-
-    A cut, for callers that want a stop-word head; the queries score ``token_counts``, all tokens.
-    """
-    tf = token_counts(texts)
-    total = texts.where("text is not null").agg(F.count(F.lit(1)).alias("n_texts"))
-    df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    rare = df.join(F.broadcast(total), F.col("df") * rarer_than <= F.col("n_texts")).select("token")
-    return tf.join(rare, "token")
-
-
 def max_pooled(weights: DataFrame) -> DataFrame:
     """Per text and token string the weight of the last id of that string, each id's weights pooled by maximum first.
 

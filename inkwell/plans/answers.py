@@ -9,8 +9,8 @@ from inkwell.operators import audit as A
 from inkwell.plans.registry import query
 from inkwell.sources.tables import table
 
-_SRC = """s as (select *, row_number() over (partition by slug order by chunk_index, chunk_row) n from chunks qualify n <= 5),
-h as (select slug, n, '[SOURCE '||n||' | '||collection||' | '||coalesce(nullif(date_iso,''),'date unknown')||' | speaker: '||coalesce(nullif(speaker,''),'-')||' | page: '
+_SRC = """s as (select *, row_number() over (partition by slug order by chunk_index, chunk_row) n from chunks qualify n <= 5), """
+_SRC += """h as (select slug, chunk_row, n, '[SOURCE '||n||' | '||collection||' | '||coalesce(nullif(date_iso,''),'date unknown')||' | speaker: '||coalesce(nullif(speaker,''),'-')||' | page: '
 ||coalesce(nullif(page_number,0)::varchar,'?')||' | slug: '||slug||']' head, trim(body,' ') body from s)"""
 
 
@@ -18,11 +18,11 @@ def _sources(spark, sf):
     return A.first_rows(table(spark, sf, "chunks"), ["slug"], ["chunk_index", "chunk_row"], 5)
 
 
-@query(f"with {_SRC} select slug, n, head, length(body) chars from h")
+@query(f"""with s as (select *, chunk_index + 1 n from chunks), {_SRC.split("qualify n <= 5), ")[1]} select slug, chunk_row, n::bigint n, head, length(body) chars from h""")
 def source_headers(spark, sf):
-    s = _sources(spark, sf)
-    b = W.source_block(*[F.col(c) for c in ("rk", "collection", "date_iso", "speaker", "page_number", "slug", "body")])
-    return s.select("slug", F.col("rk").alias("n"), b.alias("b")).select("slug", "n", F.col("b.head").alias("head"), F.length("b.body").cast("bigint").alias("chars"))
+    s = table(spark, sf, "chunks").withColumn("n", (F.col("chunk_index") + 1).cast("bigint"))
+    b = W.source_block(*[F.col(c) for c in ("n", "collection", "date_iso", "speaker", "page_number", "slug", "body")])
+    return s.select("slug", "chunk_row", "n", b.alias("b")).select("slug", "chunk_row", "n", F.col("b.head").alias("head"), F.length("b.body").cast("bigint").alias("chars"))
 
 
 @query(f"""with recursive {_SRC}, m as (select slug, max(n) k from h group by 1), r(slug,n,used,txt,stop) as (select slug, 0::bigint, 0::bigint, '', false from m

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from inkwell.functions import dates
 from inkwell.operators import calendar as C
 from inkwell.plans.registry import query
 from inkwell.sources.tables import table
@@ -73,19 +74,63 @@ def next_session(spark, sf):
     return C.with_next(_days(spark, sf)).select(F.col("d").cast("string").alias("d"), F.col("next_d").cast("string").alias("next_d"))
 
 
-@query(f"""with {_DAYS} {_RECESS} a as (select log_id, try_cast(date_iso as date) d, cast(logged_at as date) - 26000 target, status from crawl_log),
-t as (select distinct d, case when status='ok' then target end target from a where d is not null),
-n as (select d, lead(d) over (order by d) next_d from d)
-select t.d::varchar d, t.target::varchar target, n.next_d::varchar next_d, case when t.target is null then 'OPEN' when t.target=n.next_d then 'OK'
+# The tables' hearings do not say when they adjourned; each is given a header and a last line from its own date.
+_WRITTEN = "strftime(cast({0} as date),'%-d %B %Y')"
+_HEARD = "h as (select session_id, try_cast(date_iso as date) d, session_id % 5 k from session_documents), "
+_TARGET = "t as (select session_id, d, case when k < 3 then d + k::int + 1 end target, case when k < 3 then 'DATE' when k = 3 then 'OPEN' end kind from h where d is not null), "
+
+
+def _spoken(spark, sf):
+    """Whole texts of all hearings: session_id, d, text."""
+    s = table(spark, sf, "session_documents").withColumn("d", F.try_to_date("date_iso", "yyyy-MM-dd"))
+    k = F.pmod("session_id", F.lit(5)).cast("int")
+    written = lambda c: F.date_format(c, "d MMMM yyyy")
+    head = F.when(k % 2 == 0, F.concat(F.lit("Official transcript of the hearing held on "), written("d"), F.lit("\n"))).otherwise(F.concat(F.upper(F.date_format("d", "EEEE, d MMMM yyyy")), F.lit("\n")))
+    end = F.when(k < 3, F.concat(F.lit(" The Tribunal adjourned until "), written(F.date_add("d", k + 1)), F.lit("."))).when(k == 3, F.lit(" The Tribunal will now adjourn."))
+    said = F.array_join(F.transform("turns", lambda t: t["text"]), " ")
+    return s.select("session_id", "d", F.concat(F.coalesce(head, F.lit("")), said, F.coalesce(end, F.lit(""))).alias("text"))
+
+
+@query(f"with {_HEARD[:-2]} select session_id, d::varchar header_date from h")
+def header_dates(spark, sf):
+    return _spoken(spark, sf).select("session_id", dates.header_date(F.col("text")).cast("string").alias("header_date"))
+
+
+@query(f"with {_HEARD} {_TARGET[:-2]} select session_id, target::varchar target, kind from t")
+def adjournments(spark, sf):
+    day, kind = dates.adjournment(F.col("text"))
+    return _spoken(spark, sf).where("d is not null").select("session_id", day.cast("string").alias("target"), kind.alias("kind"))
+
+
+@query(f"""with {_DAYS} {_RECESS} {_HEARD} {_TARGET} n as (select d, lead(d) over (order by d) next_d from d)
+select t.session_id, t.d::varchar d, t.target::varchar target, n.next_d::varchar next_d, case when t.target is null then 'OPEN' when t.target=n.next_d then 'OK'
 when t.target in (select d from rec) then 'OK' when t.target in (select d from d) then 'SKIPPED' else 'MISSING' end verdict
 from t left join n on t.d=n.d""")
 def crosscheck(spark, sf):
-    days = _days(spark, sf)
-    log = table(spark, sf, "crawl_log")
-    target = F.when(F.col("status") == "ok", F.date_sub(F.col("logged_at").cast("date"), 26000))
-    targets = log.select(F.try_to_date("date_iso", "yyyy-MM-dd").alias("d"), target.alias("target")).where("d is not null").distinct()
-    found = C.cross_check(targets, days, _recess(spark))
-    return found.select(*[F.col(c).cast("string").alias(c) for c in ("d", "target", "next_d")], "verdict")
+    found = C.cross_check(_targets(spark, sf), _days(spark, sf), _recess(spark))
+    return found.select("session_id", *[F.col(c).cast("string").alias(c) for c in ("d", "target", "next_d")], "verdict")
+
+
+def _targets(spark, sf):
+    return _spoken(spark, sf).where("d is not null").select("session_id", "d", dates.adjournment(F.col("text"))[0].alias("target"))
+
+
+@query(f"""with {_DAYS} {_RECESS} {_HEARD} {_TARGET} n as (select d, lead(d) over (order by d) next_d from d),
+v as (select session_id, t.target is null or t.target=n.next_d or t.target in (select d from rec) ok from t left join n on t.d=n.d)
+select case when ok then 'clean' else 'problem' end state, count(*) sessions from v group by 1""")
+def session_states(spark, sf):
+    found = C.cross_check(_targets(spark, sf), _days(spark, sf), _recess(spark))
+    return found.groupBy(F.when(F.col("verdict").isin("OK", "OPEN"), "clean").otherwise("problem").alias("state")).agg(F.count(F.lit(1)).alias("sessions"))
+
+
+@query(f"""with {_HEARD[:-2]} select session_id, d::varchar metadata_date, (d + case when session_id % 7 = 0 then 1 else 0 end)::varchar header_date
+from h where session_id % 7 = 0 and d is not null""")
+def date_conflicts(spark, sf):
+    # every seventh header names the day after
+    later = F.when(F.pmod("session_id", F.lit(7)) == 0, 1).otherwise(0)
+    text = F.concat(F.lit("Tribunal sitting at the court house on "), F.date_format(F.date_add("d", later), "d MMMM yyyy"), F.lit(". "), "text")
+    both = _spoken(spark, sf).where("d is not null").select("session_id", "d", dates.header_date(text).alias("h"))
+    return both.where("h is not null and h != d").select("session_id", F.col("d").cast("string").alias("metadata_date"), F.col("h").cast("string").alias("header_date"))
 
 
 @query(f"""with {_DAYS} {_CAL} w as (select d from cal where isodow(d)<=5), h as (select d from w where d in (select d from d))

@@ -37,14 +37,18 @@ def _flat_pages(spark, sf):
     return table(spark, sf, "flat_documents").select(F.concat("url", F.lit("?"), "flat_id").alias("url"), body.alias("html"))
 
 
-@query("""select url||'?'||session_id url, (select count(*) from (select unnest(turns) t) where regexp_full_match(coalesce(t.speaker,''),'[A-Z][A-Z .]+')) turns,
-len(list_distinct(list_filter(page_numbers, lambda p: p<=2000)))::bigint pages, len(inline_links)::bigint links, coalesce(nullif(trim(title),''),'') title from session_documents""")
+@query("""with t as (select session_id, trim(t.speaker) sp, k from (select session_id, unnest(turns) t, generate_subscripts(turns,1) k from session_documents) where trim(coalesce(t.speaker,''))<>''),
+n as (select session_id, row_number() over (partition by session_id order by k) k, count(*) over (partition by session_id) n,
+regexp_full_match(upper(rtrim(sp,'.')),'MR|DR|ER|THE|MS|SIR|COL|GEN|LT|CPT|PROF') stub from t),
+g as (select *, k - row_number() over (partition by session_id, stub order by k) g from n),
+m as (select session_id, count(*) - count(*) filter (stub and k < n and at % 2 = 1) turns from (select *, row_number() over (partition by session_id, stub, g order by k) at from g) group by 1)
+select url||'?'||session_id url, coalesce(m.turns,0) turns, len(list_distinct(list_filter(page_numbers, lambda p: p<=2000)))::bigint pages,
+len(list_filter(inline_links, lambda x: not regexp_matches(x.href,'(?i)default\\.asp|accessibility|contact|library|purpose\\.asp|major\\.asp')))::bigint links,
+coalesce(nullif(trim(title),''),'') title from session_documents left join m using (session_id)""")
 def transcript_round_trip(spark, sf):
-    t = H.transcripts(_hearings(spark, sf))
-    # a speaker that is only a title takes the next turn in, so both are counted
-    n = F.aggregate("turns", F.lit(0).cast("bigint"), lambda a, x: a + 1 + F.when(x["speaker"].rlike(r"^(?:MR|MRS|DR|THE|COL|GEN|MISS|SIR)\. (?:MR|MRS|DR|THE|COL|GEN|MISS|SIR)\b"), 1).otherwise(0))
-    return t.select(
-        "url", n.alias("turns"), F.size("page_numbers").cast("bigint").alias("pages"), F.size("inline_links").cast("bigint").alias("links"), F.coalesce("title", F.lit("")).alias("title")
+    size = lambda c: F.size(c).cast("bigint").alias(c if c != "inline_links" else "links")
+    return H.transcripts(_hearings(spark, sf)).select(
+        "url", size("turns"), F.size("page_numbers").cast("bigint").alias("pages"), size("inline_links"), F.coalesce("title", F.lit("")).alias("title")
     )
 
 
@@ -65,7 +69,7 @@ def page_documents(spark, sf):
     return H.documents(_flat_pages(spark, sf))
 
 
-@query("""select url||'?'||session_id url, (select count(*) from (select unnest(turns) t) where regexp_full_match(coalesce(t.speaker,''),'[A-Z][A-Z .]+')) bold,
+@query("""select url||'?'||session_id url, (select count(*) from (select unnest(turns) t) where trim(coalesce(t.speaker,''))<>'') bold,
 1::bigint tables, (len(inline_links)+1)::bigint links, len(page_numbers)::bigint anchors from session_documents""")
 def page_diagnoses(spark, sf):
     return H.diagnoses(_hearings(spark, sf)).select("url", "bold", "tables", "links", "anchors")

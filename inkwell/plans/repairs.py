@@ -46,18 +46,29 @@ def chunk_sources(spark, sf):
     return P.with_source(table(spark, sf, "chunks"), table(spark, sf, "flat_documents")).select("slug", "base", "n", "doc_url")
 
 
-@query("""with d as (select distinct url from flat_documents), g as (select slug, source_url, max(token_count) hi, count(*) filter (speaker is null or date_iso is null) bad,
-count(*) n from chunks group by 1,2), a as (select case when starts_with(collection,'s') and chunk_index < 0 then 'DELETE' end x from chunks limit 0)
-select case when d.url is null then 'KEEP' when hi > 600 then 'RECHUNK' when bad > 0 then 'PATCH' else 'OK' end action, count(*) groups, sum(n)::bigint chunks
+_DUPLICATES = f"""{_MARKED}, dg as (select slug, arg_min(source_url, chunk_row) url from c group by 1),
+dup as (select slug from dg where contains(url,'#') and regexp_matches(split_part(url,'#',1),'/\\d{{2}}-\\d{{2}}-\\d{{2}}[^/]*$')
+and split_part(url,'#',1) in (select split_part(url,'#',1) from session_documents))"""
+
+
+@query(f"""with {_DUPLICATES}, d as (select distinct url from flat_documents), g as (select slug, source_url, max(token_count) hi, count(*) filter (speaker is null or date_iso is null) bad,
+count(*) n from chunks group by 1,2)
+select case when g.slug in (select slug from dup) then 'DELETE' when d.url is null then 'KEEP' when hi > 600 then 'RECHUNK' when bad > 0 then 'PATCH' else 'OK' end action, count(*) groups, sum(n)::bigint chunks
 from g left join d on g.source_url=d.url group by 1""")
 def repair_actions(spark, sf):
+    return _actions(spark, sf).groupBy("action").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("chunks"))
+
+
+def _actions(spark, sf):
+    """What happens to each group of chunks: slug, url, n, action."""
     c = table(spark, sf, "chunks")
     g = c.groupBy("slug", F.col("source_url").alias("url")).agg(
         F.max("token_count").alias("hi"), A.count_of(F.col("speaker").isNull() | F.col("date_iso").isNull(), "bad"), F.count(F.lit(1)).alias("n")
     )
     docs = table(spark, sf, "flat_documents").select("url", F.lit(1).alias("there")).distinct()
-    action = P.repair_action(F.col("hi"), F.col("bad"), F.col("there").isNull(), F.lit(False))
-    return g.join(docs, "url", "left").groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("chunks"))
+    twice = P.session_duplicates(_marked(spark, sf), table(spark, sf, "session_documents"), r"/\d{2}-\d{2}-\d{2}[^/]*$").select("slug", F.lit(True).alias("twice"))
+    action = P.repair_action(F.col("hi"), F.col("bad"), F.col("there").isNull(), F.coalesce("twice", F.lit(False)))
+    return g.join(docs, "url", "left").join(twice, "slug", "left").select("slug", "url", "n", action.alias("action"))
 
 
 @query("""with d as (select url, min(scrape_timestamp[1:10]) d from flat_documents group by 1),

@@ -14,8 +14,7 @@ _DENSE = """dq as (select q.vec_id qid, v.vec_id did, round(list_inner_product(q
 from embeddings q, embeddings v where q.vec_id % 20 = 0),
 dense as (select *, row_number() over (partition by qid order by score desc, did) rk from dq qualify rk <= 100)"""
 _TF = """tok as (select doc_id id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) token from documents),
-tf0 as (select token, id, count(*) w from tok group by 1,2),
-tf as (select * from tf0 where token in (select token from tf0 group by 1 having count(*)*10 <= (select count(text) from documents)))"""
+tf as (select token, id, count(*) w from tok group by 1,2)"""
 _SPARSE = f"""{_TF}, sq as (select q.id qid, d.id did, sum(q.w*d.w)::bigint score from tf q join tf d using(token) where q.id % 20 = 0 group by 1,2),
 sparse as (select *, row_number() over (partition by qid order by score desc, did) rk from sq qualify rk <= 100)"""
 _FUSED = f"""{_DENSE}, {_SPARSE}, s2 as (select * from sparse where qid in (select vec_id from embeddings)),

@@ -64,16 +64,11 @@ _HEADER = """'['||concat_ws(' | ', 'Date: '||nullif(date_iso,''), 'Source: '||sl
 @query(f"""select chunk_row, collection||'::'||slug||'::'||printf('%04d', row_number() over (partition by collection, slug order by chunk_row)-1) new_id,
 count(*) over (partition by collection, slug) total, {_HEADER} header from chunks""")
 def chunk_ids_headers(spark, sf):
-    # numbers within a slug: one slug may hold a tenth of the rows, so the numbering is by sorted runs, not by a gathered list
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("collection", "slug")
-    n = F.row_number().over(w.orderBy("chunk_row")) - 1
     cols = [F.col(c) for c in ("date_iso", "slug", "speaker", "collection", "page_number")]
-    return table(spark, sf, "chunks").select(
-        "chunk_row", F.concat_ws("::", "collection", "slug", F.format_string("%04d", n)).alias("new_id"), F.count(F.lit(1)).over(w).alias("total"),
-        text.context_header(*cols).alias("header"),
-    )
+    c = A.numbered(table(spark, sf, "chunks"), ["collection", "slug"], "chunk_row")
+    return c.select(
+        "chunk_row", F.concat_ws("::", "collection", "slug", F.format_string("%04d", "place")).alias("new_id"), F.col("group_rows").alias("total"), text.context_header(*cols).alias("header")
+    )
 
 
 @query("""select chunk_row, greatest(1, length("text")//4)::bigint tokens, len(string_split_regex(trim(body),'\\s+'))::bigint words, length(body)::bigint chars, md5(body) hash
@@ -91,13 +86,18 @@ def _turns(spark, sf):
     return t.select("doc", "turn_no", F.col("t.speaker").alias("speaker"), F.col("t.text").alias("text"), F.col("t.page_number").alias("page"))
 
 
-@query("""with recursive t as (select session_id doc, unnest(turns) t, generate_subscripts(turns,1) k from session_documents),
-u as (select doc, row_number() over (partition by doc order by k) i, k-1 turn_no, greatest(1,length(t.text)//4) n from t where trim(t.text) <> ''),
+@query("""with recursive t as (select session_id doc, k, trim(t.text) txt, t.speaker sp from (select session_id, unnest(turns) t, generate_subscripts(turns,1) k from session_documents) where trim(t.text) <> ''),
+s as (select doc, k, unnest(p) txt, generate_subscripts(p,1) j from (select doc, k, string_split(regexp_replace(txt,'([.!?])\\s+','\\1'||chr(1),'g'),chr(1)) p from t where length(txt)//4 > 512)),
+a(doc,k,j,total,c,txt) as (select doc, k, j, greatest(1,length(txt)//4), 0, txt from s where j=1
+ union all select s.doc, s.k, s.j, case when a.total+greatest(1,length(s.txt)//4)>512 then greatest(1,length(s.txt)//4) else a.total+greatest(1,length(s.txt)//4) end,
+ case when a.total+greatest(1,length(s.txt)//4)>512 then a.c+1 else a.c end, s.txt from a join s on s.doc=a.doc and s.k=a.k and s.j=a.j+1),
+x as (select doc, k, c, trim(string_agg(txt,' ' order by j)) txt from a group by 1,2,3 union all select doc, k, 0, txt from t where length(txt)//4 <= 512),
+u as (select doc, row_number() over (partition by doc order by k, c) i, k-1 turn_no, greatest(1,length(coalesce(nullif(sp,'')||': ','')||x.txt)//4) n from x join (select doc, k, sp from t) using (doc, k)),
 r(doc,i,s,c,turn_no,n) as (select doc, i, n, 0, turn_no, n from u where i=1
  union all select u.doc, u.i, case when r.s+u.n>400 then u.n else r.s+u.n end, case when r.s+u.n>400 then r.c+1 else r.c end, u.turn_no, u.n from r join u on u.doc=r.doc and u.i=r.i+1)
-select doc, c::bigint chunk_index, count(*) n_turns, min(turn_no)::bigint first_turn, sum(n)::bigint tokens from r group by 1,2""")
+select doc, c::bigint chunk_index, count(distinct turn_no) n_turns, min(turn_no)::bigint first_turn, sum(n)::bigint tokens from r group by 1,2""")
 def greedy_pack(spark, sf):
-    return K.packed_turns(_turns(spark, sf), longest=1 << 30).select("doc", "chunk_index", "n_turns", "first_turn", "tokens")
+    return K.packed_turns(_turns(spark, sf)).select("doc", "chunk_index", "n_turns", "first_turn", "tokens")
 
 
 @query()

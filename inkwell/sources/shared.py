@@ -12,9 +12,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a local one only where none is named, as in tests."""
+    """The shared folder that the cluster names; a local one only on a local master where none is named, as in tests."""
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SETTING} must name a folder that every executor can reach")
         named = "file://" + tempfile.mkdtemp(prefix="inkwell-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -35,10 +35,7 @@ def test_dense_equals_brute_force_in_blocks(spark):
     assert R.dense_topk(df.where("id < 0"), df, 4).count() == 0
 
 
-def test_sparse_drops_common_tokens_and_zero_scores(spark):
-    texts = [(i, "the common word w%d" % (i // 2)) for i in range(30)] + [(100, None), (101, "")]
-    p = R.postings(spark.createDataFrame(texts, "id long, text string"))
-    assert {r.token for r in p.collect()} == {"w"} or "the" not in {r.token for r in p.collect()}
+def test_sparse_drops_zero_scores(spark):
     q = spark.createDataFrame([("x", 1, 2), ("y", 1, 1)], "token string, id int, w int")
     d = spark.createDataFrame([("x", 7, 3), ("z", 8, 3)], "token string, id int, w int")
     assert [(r.did, r.score, r.rk) for r in R.sparse_topk(q, d, 5).collect()] == [(7, 6, 1)]

@@ -41,7 +41,7 @@ def _flat_pages(spark, sf):
 n as (select session_id, row_number() over (partition by session_id order by k) k, count(*) over (partition by session_id) n,
 regexp_full_match(upper(rtrim(sp,'.')),'MR|DR|ER|THE|MS|SIR|COL|GEN|LT|CPT|PROF') stub from t),
 g as (select *, k - row_number() over (partition by session_id, stub order by k) g from n),
-m as (select session_id, count(*) - count(*) filter (stub and k < n and at % 2 = 1) turns from (select *, row_number() over (partition by session_id, stub, g order by k) at from g) group by 1)
+m as (select session_id, count(*) - count(*) filter (stub and k < n and pl % 2 = 1) turns from (select *, row_number() over (partition by session_id, stub, g order by k) pl from g) group by 1)
 select url||'?'||session_id url, coalesce(m.turns,0) turns, len(list_distinct(list_filter(page_numbers, lambda p: p<=2000)))::bigint pages,
 len(list_filter(inline_links, lambda x: not regexp_matches(x.href,'(?i)default\\.asp|accessibility|contact|library|purpose\\.asp|major\\.asp')))::bigint links,
 coalesce(nullif(trim(title),''),'') title from session_documents left join m using (session_id)""")

@@ -1,15 +1,18 @@
 """Problem 10: documents scored for abusive, hateful and sexual language by their nearest labelled examples.
 
-Examples are sentences: those labelled by hand (``labelled_sentences``), and those of a bounded sample of labelled
-documents. A sentence of an offensive document is an example of its category only if its own neighbours say so, as most
-sentences of such a document are harmless and some labels are wrong. Every sentence of every document is compared with the
-examples by exact TF-IDF cosine over words and pairs of words; a block-max inverted index leaves out blocks of examples
-whose bound is below ``NEAR``. The nearest ``K`` vote with the square of their similarity. A document's score is that of
-its worst sentence, which is given as evidence with the nearest example.
+Examples are the sentences of a bounded sample of labelled documents; there is no list of words or phrases. A label holds
+for a document, and most sentences of an offensive one are harmless, so each sentence is told by its neighbours in other
+documents: what is said in harmless documents too is harmless, what only offensive ones say is an example of their
+category, and what has no neighbour has no say. Wrong labels are outvoted in the same way. Every sentence of every document
+is compared with the examples by exact TF-IDF cosine over words and pairs of words; a block-max inverted index leaves out
+blocks of examples whose bound is below ``NEAR``. The nearest ``K`` vote with the square of their similarity. A document's
+score is that of its worst sentence, which is given as evidence with the nearest example; the votes are calibrated on the
+labelled documents, each judged without its own sentences.
 
 Document frequencies come from all documents. Spaced letters, digits and signs for letters, and starred-out letters are
 undone first. Nulls: null and empty texts score 0 with no evidence; labels without a document, or with a null category,
-are left out. Of several labels of a document the offensive ones hold if they are no fewer than the others.
+are left out. Of several labels of a document the offensive ones hold if they are no fewer than the others. Without
+labels every document scores 0.
 """
 
 from __future__ import annotations
@@ -17,25 +20,29 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm import labelled_sentences as known
 from inkwell.llm.batches import map_columns
 
 #: Neighbours that vote, the least similarity of a neighbour, and examples a block.
 K, NEAR, BLOCK = 15, 0.25, 32
 #: Bounds of the sample of labelled documents: offensive and harmless ones, each with all its sentences.
 MAX_OFFENSIVE, MAX_HARMLESS = 1000, 1000
-#: Share of the vote that keeps a sentence's offensive label in training, and rounds of that at most.
-AGREE, ROUNDS = 0.6, 4
+#: Share of the vote that makes a sentence of an offensive document an example, and rounds of that at most.
+AGREE, ROUNDS = 0.6, 5
+#: The least evidence of a candidate sentence, and how near a telling term's rate comes to the highest.
+TELLING, PURE = 6.0, 0.4
 #: Score from which a document counts as offensive.
 THRESHOLD = 0.5
-#: The weight of a word that no example has, of hand-labelled examples in a vote, and of what is unseen in one.
-UNSEEN_IDF, HAND_WEIGHT, COUNTERWEIGHT = 2.5, 3.0, 0.08
+#: The weight of a word that no example has, and of what is unseen in a vote.
+UNSEEN_IDF, COUNTERWEIGHT = 2.5, 0.08
+#: Documents to which the calibration's prior (a vote is its own score) amounts.
+PRIOR = 20.0
 
 #: The end of a sentence, and words or such ends; the second pattern also takes signs that stand for letters.
 _END = r"[.!?][\"”»']?\s|\n"
@@ -247,36 +254,140 @@ class BlockMaxIndex:
 
 
 class Model:
-    """The examples with their categories, and votes over them."""
-
-    def __init__(self, sentences: list[str], by_hand: int, reader: Reader, vocabulary: Vocabulary, read: list[list[str]], idf: np.ndarray):
-        self.sentences, self.reader, self.vocabulary = sentences, reader, vocabulary
-        self.weights = np.where(np.arange(len(sentences)) < by_hand, HAND_WEIGHT, 1.0)
-        terms, owner, _ = vocabulary.tokens(read)
-        self.index = BlockMaxIndex(terms, owner, len(sentences), idf)
-
-    def label(self, categories: list[str], silent: np.ndarray | None = None) -> Model:
-        """The model with these categories of its examples; ``silent`` ones have no say."""
-        self.categories = categories
-        self.say = self.weights if silent is None else np.where(silent, 0.0, self.weights)
-        self.bad = np.array([c != "none" for c in categories])
+    """The examples with their documents and categories, votes over them, and the calibration of votes."""
+
+    def __init__(self, sentences: list[str], home: np.ndarray, reader: Reader, vocabulary: Vocabulary, read: list[list[str]], idf: np.ndarray):
+        self.sentences, self.home, self.reader, self.vocabulary = sentences, home, reader, vocabulary
+        self.terms, self.owner, _ = vocabulary.tokens(read) if read else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(self.owner, kind="stable")
+        self.terms, self.owner = self.terms[order], self.owner[order]
+        self.begin = np.searchsorted(self.owner, np.arange(len(sentences) + 1))
+        self.index = BlockMaxIndex(self.terms, self.owner, len(sentences), idf)
+        self.slope, self.shift = 1.0, 0.0
+
+    def label(self, categories: list[str], say: np.ndarray) -> Model:
+        """The model with these categories of its examples and their weights in a vote."""
+        self.categories, self.say = categories, say
+        self.bad = np.array([c != "none" for c in categories], dtype=bool) & (say > 0)
         self.index.set_offensive(self.bad)
         return self
 
-    def vote(self, terms: np.ndarray, without: int = -1) -> tuple[float, int]:
-        """Score of a sentence and the nearest offensive example (-1: none); ``without`` leaves one example out."""
+    def vote(self, terms: np.ndarray, without: int = -1) -> tuple[float, int, float]:
+        """Share of the vote for offensive, the nearest offensive example (-1: none) and the power of all votes.
+
+        ``without`` leaves the examples of one document out.
+        """
         ids, sims = self.index.near(terms, NEAR)
+        heard = self.say[ids] > 0
         if without >= 0:
-            ids, sims = ids[ids != without], sims[ids != without]
-        ids, sims = ids[(heard := self.say[ids] > 0)], sims[heard]
+            heard &= self.home[ids] != without
+        ids, sims = ids[heard], sims[heard]
         order = np.lexsort((ids, -sims))[:K]
         ids, sims = ids[order], sims[order]
+        power = self.say[ids] * sims**2
         bad = self.bad[ids]
         if not bad.any():
-            return 0.0, -1
-        power = self.say[ids] * sims**2
+            return 0.0, -1, float(power.sum())
         # a lone distant neighbour is weak evidence: a fixed counterweight stands for the unseen harmless ones
-        return float(power[bad].sum() / (power.sum() + COUNTERWEIGHT)), int(ids[bad][0])
+        return float(power[bad].sum() / (power.sum() + COUNTERWEIGHT)), int(ids[bad][0]), float(power.sum())
+
+    def score(self, vote: float) -> float:
+        """The calibrated score of a vote; 0 for none."""
+        if vote <= 0:
+            return 0.0
+        x = np.log(min(vote, 0.999) / (1 - min(vote, 0.999)))
+        return float(1 / (1 + np.exp(-(self.slope * x + self.shift))))
+
+    def of_example(self, i: int) -> np.ndarray:
+        """The terms of an example."""
+        return self.terms[self.begin[i] : self.begin[i + 1]]
+
+    def learn(self, given: list[str], df: np.ndarray) -> Model:
+        """Categories of the examples from those of their documents, in rounds, and the calibration.
+
+        A sentence of an offensive document is a candidate when it holds a telling term (``_suspect``). Candidates are
+        confirmed by their neighbours in other documents, sentences near confirmed ones are asked in the next round; what
+        is not confirmed has no say. Sentences of harmless documents are harmless, but for those that confirmed ones
+        outvote: their documents' labels are wrong.
+        """
+        bad_doc = np.array([c != "none" for c in given], dtype=bool)
+        near_telling = bad_doc & self._suspect(bad_doc, df)
+        kept = set(np.flatnonzero(near_telling).tolist())
+        asked = kept
+        for _ in range(ROUNDS):
+            say = np.where(bad_doc, 0.0, 1.0)
+            say[list(kept)] = 1.0
+            self.label([c if i in kept else "none" for i, c in enumerate(given)], say)
+            close = self.index.possible(self.terms[m := bad_doc[self.owner]], self.owner[m], len(self.sentences), NEAR)
+            asked = asked | set(close.tolist())
+            told = {i: self.vote(self.of_example(i), int(self.home[i])) for i in sorted(asked)}
+            # a telling sentence that is like no other stays
+            now = {i for i, (v, _, power) in told.items() if v >= AGREE or (near_telling[i] and power < COUNTERWEIGHT)}
+            if now == kept:
+                break
+            kept = now
+        say = np.where(bad_doc, 0.0, 1.0)
+        say[list(kept)] = 1.0
+        self.label([c if i in kept else "none" for i, c in enumerate(given)], say)
+        m = ~bad_doc[self.owner]
+        close = self.index.possible(self.terms[m], self.owner[m], len(self.sentences), NEAR)
+        say[[i for i in close.tolist() if self.vote(self.of_example(i), int(self.home[i]))[0] >= AGREE]] = 0.0
+        self.label(self.categories, say)
+        self._calibrate(bad_doc)
+        return self
+
+    def _suspect(self, bad: np.ndarray, df: np.ndarray) -> np.ndarray:
+        """Which examples speak, by the evidence of their telling terms, for an offensive document.
+
+        Labelled offensive documents are a share p of all documents, and a share q (the upper quartile by
+        evidence) of those that hold the most telling terms. A term of n other documents, b of them labelled offensive, is telling when b / n is at least ``PURE`` q; its
+        evidence is the log likelihood ratio of the rates b / n and p. Pairs of words count half, as they repeat their words.
+        """
+        n_homes = int(self.home.max(initial=0)) + 1
+        key = np.unique(self.terms[m] * n_homes + self.home[self.owner[m]]) if (m := bad[self.owner]).any() else np.zeros(0, np.int64)
+        b = np.bincount(key // n_homes, minlength=len(df)).astype(float)
+        n = np.maximum(df, b)
+        b[0] = 0
+        p = min(0.5, max(1, len(np.unique(self.home[bad]))) / max(1.0, df[0]))
+
+        def ratio(b: np.ndarray, n: np.ndarray) -> np.ndarray:
+            rate = b / np.maximum(n, 1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                x = np.where(b > 0, b * np.log(rate / p), 0.0) + np.where(n > b, (n - b) * np.log((1 - rate) / (1 - p)), 0.0)
+            return np.where(rate > p, x, 0.0)
+
+        evidence = ratio(b, n)
+        most = np.flatnonzero(evidence >= 2 * TELLING)
+        most = most[np.argsort((b / np.maximum(n, 1))[most])]
+        reached = np.cumsum(evidence[most])
+        q = max(4 * p, (b / np.maximum(n, 1))[most[np.searchsorted(reached, 0.75 * reached[-1])]]) if len(most) else 4 * p
+        b, n = np.maximum(b - 1, 0), np.maximum(n - 1, 0)
+        evidence = np.where(b >= PURE * q * np.maximum(n, 1), ratio(b, n), 0.0)
+        evidence[self.vocabulary.n_words :] *= 0.5
+        pair = np.unique(self.owner * len(df) + self.terms)
+        return np.bincount(pair // len(df), evidence[pair % len(df)], len(self.sentences)) >= TELLING
+
+    def _calibrate(self, bad_doc: np.ndarray) -> None:
+        """A logistic map from the votes of labelled documents, each without its own sentences, to their labels."""
+        near = self.index.possible(self.terms, self.owner, len(self.sentences), NEAR).tolist()
+        worst: dict[int, float] = defaultdict(float)
+        for i in near:
+            v = self.vote(self.of_example(i), int(self.home[i]))[0]
+            worst[int(self.home[i])] = max(worst[int(self.home[i])], v)
+        truth = {int(h): bool(b) for h, b in zip(self.home, bad_doc)}
+        rows = [(min(max(v, 0.001), 0.999), truth[h]) for h, v in worst.items() if v > 0]
+        # the prior: votes spread evenly over their range, each its own score
+        even = np.linspace(0.05, 0.95, 19)
+        x = np.array([v for v, _ in rows] + even.tolist() * 2)
+        y = np.array([float(t) for _, t in rows] + [1.0] * 19 + [0.0] * 19)
+        w = np.concatenate([np.ones(len(rows)), even * PRIOR / 19, (1 - even) * PRIOR / 19])
+        x = np.stack([np.log(x / (1 - x)), np.ones(len(x))], axis=1)
+        at = np.array([1.0, 0.0])
+        for _ in range(25):
+            p = 1 / (1 + np.exp(-(x @ at)))
+            step = np.linalg.solve((x.T * (w * p * (1 - p))) @ x + 1e-6 * np.eye(2), x.T @ (w * (p - y)))
+            at = at - np.clip(step, -1, 1)
+        self.slope, self.shift = max(0.1, float(at[0])), float(at[1])
 
     def votes(self, texts: list[str | None]) -> list[tuple[int, int, float, int]]:
         """Text, sentence, score and nearest example of each sentence that scores above 0."""
@@ -294,82 +405,63 @@ class Model:
         text = np.searchsorted(first, todo, "right") - 1
         out = []
         for i, k, a, b in zip((todo - first[text]).tolist(), text.tolist(), begin.tolist(), end.tolist()):
-            v, e = self.vote(terms[a:b])
+            v, e, _ = self.vote(terms[a:b])
             if v > 0:
                 out.append((k, i, v, e))
         return out
 
 
-def hand_labelled() -> tuple[list[str], list[str]]:
-    """The permanent examples and their categories."""
-    parts = [(s, c) for c, block in (("abuse", known.ABUSE), ("hate", known.HATE), ("sexual", known.SEXUAL), ("none", known.NONE)) for s in block.split("\n")]
-    return [s for s, _ in parts], [c for _, c in parts]
-
-
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """The model from a bounded sample of labelled documents; document frequencies are counted over all documents."""
     votes = labels.where("doc_id is not null and category is not null").groupBy("doc_id").agg(
         F.count_if(F.col("category") != "none").alias("bad"), F.count_if(F.col("category") == "none").alias("good"), F.max(F.when(F.col("category") != "none", F.col("category"))).alias("category")
     )
     state = votes.select("doc_id", F.when((F.col("bad") > 0) & (F.col("bad") >= F.col("good")), F.col("category")).otherwise("none").alias("category"))
+    sample = lambda which, bound: state.where(which).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    chosen = sample("category != 'none'", MAX_OFFENSIVE).unionByName(sample("category = 'none'", MAX_HARMLESS))
+    # texts of the sample only: at most the two bounds together, read in one pass
     texts = documents.select("doc_id", "text").where("text is not null")
+    rows = sorted(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "category", "text").collect(), key=lambda r: (r.doc_id, r.text))
+    return fit([(r.text, r.category) for r in rows], lambda v: frequencies(documents, v))
 
-    def sample(which: str, bound: int) -> list:
-        chosen = state.where(which).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        # texts of the sample only: at most the two bounds together
-        return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "category", "text").collect()
 
-    rows = sorted(sample("category != 'none'", MAX_OFFENSIVE) + sample("category = 'none'", MAX_HARMLESS), key=lambda r: r.doc_id)
-    sentences, categories = hand_labelled()
-    n_hand = len(sentences)
+def fit(rows: list[tuple[str, str]], frequencies_of: Callable[[Vocabulary], np.ndarray]) -> Model:
+    """The model of labelled (text, category) documents; ``frequencies_of`` counts a vocabulary's terms in all documents."""
     reader = Reader()
-    seen = set(sentences)
-    for r in rows:
-        for s in [x.strip() for x in reader.sentences(r.text) if x.strip()]:
-            if s not in seen and len(s) > 8:
-                seen.add(s)
+    sentences, home, given = [], [], []
+    for k, (text, category) in enumerate(rows):
+        for s in dict.fromkeys(x.strip() for x in reader.sentences(text)):
+            if len(s) > 8:
                 sentences.append(s)
-                categories.append(r.category)
-    offensive_words = {w for s, c in zip(sentences[:n_hand], categories) if c != "none" for w in reader.words(s)}
-    reader = Reader(offensive_words)
+                home.append(k)
+                given.append(category)
+    homes = np.array(home, dtype=np.int64)
+    # words that stand undisguised in offensive documents tell what disguised ones mean
+    reader = Reader({w for s, c in zip(sentences, given) if c != "none" for w in reader.words(s) if w.isalpha()})
     read = [reader.words(s) for s in sentences]
     vocabulary = Vocabulary(read)
-    idf = frequencies(documents, vocabulary)
-    # Offensive documents are mostly harmless, and some labels are wrong. Their sentences are silent at first; one gets its
-    # document's label when its neighbours agree, those labelled by hand and those confirmed before it; the rounds spread it.
-    model = Model(sentences, n_hand, reader, vocabulary, read, idf)
-    asked = np.array([i for i in range(n_hand, len(sentences)) if categories[i] != "none"], dtype=np.int64)
-    terms, owner, _ = vocabulary.tokens([read[i] for i in asked])
-    order = np.argsort(owner, kind="stable")
-    terms, owner = terms[order], owner[order]
-    begin = np.searchsorted(owner, np.arange(len(asked) + 1))
-    final, kept = categories[:n_hand] + ["none"] * (len(sentences) - n_hand), set()
-    for _ in range(ROUNDS):
-        silent = np.zeros(len(sentences), bool)
-        silent[[i for i in asked.tolist() if i not in kept]] = True
-        model.label(final, silent)
-        near = model.index.possible(terms, owner, len(asked), NEAR) if len(asked) else []
-        now = {int(asked[k]) for k in near if model.vote(terms[begin[k] : begin[k + 1]], int(asked[k]))[0] >= AGREE}
-        if now == kept:
-            break
-        kept = now
-        final = [c if i < n_hand or i in kept else "none" for i, c in enumerate(categories)]
-    model.label(final)
-    model.index.raw = None  # only for labelling; a copy less to send
+    df = frequencies_of(vocabulary)
+    idf = np.log((1 + max(1.0, df[0])) / (1 + df)) + 0.2
+    idf[0] = UNSEEN_IDF
+    model = Model(sentences, homes, reader, vocabulary, read, idf).learn(given, df)
+    # what only learning needs is not sent
+    model.index.raw = model.terms = model.owner = model.begin = model.home = None
     return model
 
 
 def frequencies(documents: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Inverse document frequency, over all documents, of each term of the examples (their vocabulary is bounded).
+    """The number of documents, of all, with each term of the examples (their vocabulary is bounded); first that of all.
 
     Words are taken as they are written here.
     """
 
+    plain = Reader().plain
+
     def kernel(c: dict, _) -> dict:
         n = np.zeros(vocabulary.size, dtype=np.int64)
         for lo in range(0, len(c["text"]), 256):
             texts = c["text"][lo : lo + 256]
-            terms, owner, first = vocabulary.tokens([_PLAIN.findall(fold(t)) if t else [] for t in texts])
+            terms, owner, first = vocabulary.tokens([_PLAIN.findall(plain(t)) if t else [] for t in texts])
             there = np.zeros((len(texts), vocabulary.size), dtype=bool)
             there[np.searchsorted(first, owner, "right") - 1, terms] = True
             n += there.sum(axis=0)
@@ -381,9 +473,7 @@ def frequencies(documents: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     df = np.zeros(vocabulary.size)
     for r in counted.collect():
         df[r.term] = r.n
-    idf = np.log((1 + max(1.0, df[0])) / (1 + df)) + 0.2
-    idf[0] = UNSEEN_IDF
-    return idf
+    return df
 
 
 def scores(documents: DataFrame, model: Model) -> DataFrame:
@@ -398,7 +488,7 @@ def scores(documents: DataFrame, model: Model) -> DataFrame:
         return {
             "doc_id": c["doc_id"],
             "source": c["source"],
-            "score": [round(b[0], 6) if b else 0.0 for b in found],
+            "score": [round(m.score(b[0]), 6) if b else 0.0 for b in found],
             "category": [m.categories[b[2]] if b else None for b in found],
             "sentence": [m.reader.sentences(t)[b[1]].strip() if b else None for t, b in zip(c["text"], found)],
             "example": [m.sentences[b[2]] if b else None for b in found],

@@ -186,29 +186,62 @@ def test_leaks_by_broadcast_and_by_join(spark):
 
 
 # 10
-def test_near_is_exact_and_scores(spark):
-    sentences, categories = offensive.hand_labelled()
+CALM = [f"The {a} {b} the {c}." for a in ("mayor", "clerk", "widow", "guard") for b in ("signed", "counted", "read", "sold") for c in ("letters", "crates", "maps", "horses")]
+INSULTS = [f"You {a} {b}, {c}." for a in ("filthy", "lying", "rotten") for b in ("swine", "coward", "fool") for c in ("go to hell", "shut your mouth", "damn you")]
+
+
+def reviewed():
+    """Documents (id, text, label): harmless ones, offensive ones of which most sentences are harmless, some wrong labels, and unlabelled ones."""
+    rng = random.Random(11)
+    docs = [(i, " ".join(rng.sample(CALM, 6)), "none") for i in range(120)]
+    for i in range(120, 160):
+        said = rng.sample(CALM, 5)
+        said.insert(rng.randrange(6), rng.choice(INSULTS))
+        docs.append((i, " ".join(said), "abuse"))
+    docs += [(200, " ".join([*rng.sample(CALM, 3), rng.choice(INSULTS)]), "none"), (201, " ".join(rng.sample(CALM, 4)), "abuse")]
+    docs += [(300 + i, " ".join([*rng.sample(CALM, 4), x]), None) for i, x in enumerate(INSULTS)] + [(400 + i, " ".join(rng.sample(CALM, 5)), None) for i in range(200)]
+    return docs
+
+
+def test_near_is_exact():
+    sentences = [*CALM, *INSULTS]
     reader = offensive.Reader()
     read = [reader.words(s) for s in sentences]
     v = offensive.Vocabulary(read)
     idf = np.linspace(0.5, 4, v.size)
-    m = offensive.Model(sentences, len(sentences), reader, v, read, idf).label(categories)
-    terms, owner, _ = v.tokens(read)
+    m = offensive.Model(sentences, np.arange(len(sentences)), reader, v, read, idf)
+    m.label(["none"] * len(CALM) + ["abuse"] * len(INSULTS), np.ones(len(sentences)))
     dense = np.zeros((len(sentences), v.size))
-    np.add.at(dense, (owner, terms), 1)
+    np.add.at(dense, (m.owner, m.terms), 1)
     dense = dense * idf
     dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-    for i in range(0, len(sentences), 7):
-        ids, sims = m.index.near(terms[owner == i], 0.25)
+    asked = 0
+    for i in range(len(sentences)):
+        ids, sims = m.index.near(m.of_example(i), 0.25)
         want = dense @ dense[i]
         if (want[m.bad] >= 0.25).any():
+            asked += 1
             assert ids.tolist() == np.flatnonzero(want >= 0.25 - 1e-12).tolist() and np.allclose(sims, want[ids])
-    docs = spark.createDataFrame([(1, "A calm day. All Saltbacks are v e r m i n and ought to be driven into the sea.", "s"), (2, "The mayor signed the paper.", "s"), (3, None, None), (4, "", "s")], "doc_id long, text string, source string")
-    labels = spark.createDataFrame([(2, "none"), (None, "abuse"), (77, "hate"), (1, None)], "doc_id long, category string")
-    scored = offensive.scores(docs, offensive.train(docs, labels))
-    got = {r.doc_id: (r.score >= offensive.THRESHOLD, r.category) for r in scored.collect()}
-    assert got[1] == (True, "hate") and not any(got[k][0] for k in (2, 3, 4))
-    assert offensive.rates(scored).where("source = 's'").first().offensive == 1
+        else:
+            assert not len(ids)
+    assert asked >= len(INSULTS)
+
+
+def test_offensive_documents_are_told_by_the_labels_alone(spark):
+    docs = reviewed()
+    extra = [(900, None, "x"), (901, "", "x"), (902, "Damn y o u, you f i l t h y coward!", "x"), (900, "The clerk read the maps.", "x")]
+    documents = spark.createDataFrame([(i, t, "s") for i, t, _ in docs] + extra, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, c) for i, _, c in docs if c] + [(None, "abuse"), (7777, "hate"), (900, None), (3, "abuse"), (3, "none"), (3, "none")], "doc_id long, category string")
+    scored = offensive.scores(documents, offensive.train(documents, labels))
+    rows = scored.collect()
+    found = {r.doc_id for r in rows if r.score >= offensive.THRESHOLD}
+    assert found == {*range(120, 160), 200, *range(300, 300 + len(INSULTS)), 902} and len(rows) == len(docs) + 4
+    one = next(r for r in rows if r.doc_id == 300)
+    assert one.category == "abuse" and "you filthy swine" in one.sentence and one.example
+    assert offensive.rates(scored).where("source = 'x'").first().offensive == 1
+    # without labels nothing is offensive, and no documents give no rows
+    nothing = offensive.scores(documents, offensive.train(documents, labels.where("false")))
+    assert nothing.where("score > 0").count() == 0 and offensive.scores(documents.where("false"), offensive.train(documents.where("false"), labels)).count() == 0
 
 
 def test_examples_are_taken_from_the_whole_text(spark):

@@ -1,29 +1,31 @@
 """Problem 2: the record's own lines of a scraped page, without the furniture of the site.
 
-Every line gets a score from weights trained on labelled pages: the words of a record count up, the tags of a site
-(separators, arrows, menu words, notices) count down. One linear scan finds the contiguous run of lines with the largest
-sum: the content region. A line is furniture when its score is clearly below 0, more so inside the region than outside;
-titles below a heading of related records belong to that heading; a furniture line may be cut short at the end.
+Every line gets a score from weights trained on labelled pages (``lines``): the words of a record count up, the words and
+tags of a site (separators, arrows, short lines, notices) count down. One linear scan finds the contiguous run of lines with
+the largest sum: the content region. What lies outside is furniture. The same scan with the signs turned finds the runs
+inside the region whose sum falls below ``ISLAND``, furniture between the lines of the record, and outside of it passages
+of the record that furniture cuts off, whose sum is above ``PASSAGE``. A line in which a sentence
+of the line before goes on, broken by an inline link, scores with that sentence.
 
 Nulls: a null text has no line. An empty text, and an empty line, is no furniture. Very long texts take linear time.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm import labelled_pages, lines
+from inkwell.llm import lines
 from inkwell.llm.batches import map_columns
 
-#: Below which score a line is furniture inside the content region, and outside of it. A short line without a known form
-#: is mostly a piece of a sentence that an inline link broke, so its words must speak clearly against it.
-INSIDE, OUTSIDE = -3.5, -2.8
-#: The score of a line that has the whole form of a labelled furniture line.
-FORM = -4.25
-_RELATED = re.compile("(?:" + "|".join(re.escape(x) for x in labelled_pages.RELATED_HEADS.split("\n")) + ")", re.I)
+#: The sum below which a run of lines inside the content region is furniture.
+ISLAND = -2.5
+#: The sum above which a run of lines outside of it is a passage of the record, cut off by furniture.
+PASSAGE = 3.0
+#: The score from which a line below a list's heading is the record's again.
+LISTED = 5.0
+#: The score below which a line is no beginning of the sentence that goes on in the next.
+CLEAR = -3.5
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -38,25 +40,40 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return span
 
 
+def islands(scores: list[float], least: float) -> list[tuple[int, int]]:
+    """The disjoint runs [begin, end) with the smallest sums, each below ``least``, found from left to right.
+
+    A run is closed when the sum has risen by more than the run is deep: what follows cannot belong to it.
+    """
+    out, total, low, begin, end = [], 0.0, 0.0, 0, 0
+    for i, s in enumerate([*scores, float("inf")]):
+        if total + s >= 0 or total + s > low - least:
+            if low < least:
+                out.append((begin, end))
+            total, low, begin = 0.0, 0.0, i + 1
+            if s < 0 and s != float("inf"):
+                total, low, begin, end = s, s, i, i + 1
+            continue
+        if total == 0.0:
+            begin = i
+        total += s
+        if total < low:
+            low, end = total, i + 1
+    return out
+
+
 class LineJudge:
     """Scores of lines, remembered up to a bound."""
 
     BOUND = 100_000
 
     def __init__(self):
-        self.memo: dict[str, tuple[float, bool, bool]] = {}
+        self.memo: dict[str, float] = {}
 
-    def __call__(self, line: str) -> tuple[float, bool, bool]:
-        """Score, whether it is a heading of related records, whether it has the form of a title."""
+    def __call__(self, line: str) -> float:
         known = self.memo.get(line)
         if known is None:
-            bare = line.strip()
-            if lines.is_furniture_form(bare):
-                known = (FORM, bool(_RELATED.fullmatch(bare)), False)
-            elif lines.is_record_form(bare):
-                known = (2.0, False, lines.is_title_form(bare))
-            else:
-                known = (lines.score(line), False, False)
+            known = lines.score(line)
             if len(line) <= lines.LONG:
                 if len(self.memo) >= self.BOUND:
                     self.memo.clear()
@@ -64,40 +81,39 @@ class LineJudge:
         return known
 
 
+def line_scores(rows: list[str], judge: LineJudge) -> list[float]:
+    """The scores of a page's lines, sentences broken over lines taken together."""
+    scores = [judge(r) for r in rows]
+    listed = False
+    for i, row in enumerate(rows):
+        # short lines without the end of a sentence below the heading of a list of other records belong to it
+        bare = row.strip()
+        head = bare.lower() in lines.list_heads()
+        listed = head or listed and len(bare) <= lines.LONG and bool(bare) and not lines.ENDS.search(bare) and scores[i] < LISTED
+        if listed:
+            scores[i] = min(scores[i], -1.5)
+    for i in range(1, len(rows)):
+        before, here = rows[i - 1].rstrip(), rows[i]
+        after = rows[i + 1] if i + 1 < len(rows) else ""
+        runs_on = here[:1].islower() or here[:1].isdigit() or after[:1].islower() or after[:1] in (",", ".", ";", ":")
+        if scores[i] < 0 < scores[i - 1] and before and not lines.ENDS.search(before) and runs_on:
+            scores[i] = 0.5
+    for i in range(len(rows) - 2, -1, -1):
+        if CLEAR < scores[i] < 0 < scores[i + 1] and rows[i].strip() and rows[i + 1][:1].islower() and not lines.ENDS.search(rows[i].rstrip()):
+            scores[i] = 0.5
+    return scores
+
+
 def furniture(text: str, judge: LineJudge) -> list[int]:
     """Numbers (from 1) of the furniture lines of ``text``."""
     rows = text.split("\n")
-    judged = [judge(r) if len(r) <= lines.LONG else (3.0 + len(r) / 100, False, False) for r in rows]
-    scores = [j[0] for j in judged]
-    # a line that goes on with a sentence broken by an inline link belongs to that sentence
-    for i in range(1, len(rows)):
-        before = rows[i - 1].rstrip()
-        broken = scores[i - 1] > 0 and before and len(before.split()) > 0 and not lines.ENDS.search(before) and not lines.is_record_form(before)
-        goes_on = rows[i][:1].islower() or rows[i][:1].isdigit() or (i + 1 < len(rows) and rows[i + 1][:1].islower())
-        if broken and goes_on and scores[i] != FORM:
-            scores[i] = max(scores[i], 0.5)
+    scores = line_scores(rows, judge)
     begin, end = best_run(scores)
-    out, related = [], False
-    for i, (s, head, title) in enumerate(zip(scores, (j[1] for j in judged), (j[2] for j in judged))):
-        if not rows[i].strip():
-            continue
-        bad = s < (INSIDE if begin <= i < end else OUTSIDE)
-        if bad and s != FORM:  # of no known form: not a sentence that goes on in the next line, nor a few letters
-            onward = i + 1 < len(rows) and (rows[i + 1][:1].islower() or rows[i + 1][:1].isdigit() or rows[i + 1][:1] in ",.;:(")
-            bad = not onward and len(rows[i].strip()) > 2 and (i + 1 < len(rows) or lines.SEPARATOR.search(rows[i]) is not None or lines.begins_furniture(rows[i])[0])
-        if related and title:
-            bad = True
-        else:
-            related = head
-        if i == len(rows) - 1 and not bad and len(rows[i]) <= lines.LONG and not lines.is_record_form(rows[i]):
-            # the end of a text cut short: the beginning of a furniture line, unless a sentence goes on in it
-            f, r = lines.begins_furniture(rows[i])
-            after = bool(out) and out[-1] == i
-            whole_before = not i or after or lines.is_record_form(rows[i - 1]) or bool(lines.ENDS.search(rows[i - 1].rstrip()))
-            bad = f and whole_before and (after or not r and len(rows[i].strip()) > 2)
-        if bad:
-            out.append(i + 1)
-    return out
+    inside = {i for a, b in islands(scores[begin:end], ISLAND) for i in range(begin + a, begin + b)}
+    outside = {*range(begin), *range(end, len(rows))}
+    for lo, hi in ((0, begin), (end, len(rows))):
+        outside -= {i for a, b in islands([-s for s in scores[lo:hi]], -PASSAGE) for i in range(lo + a, lo + b)}
+    return [i + 1 for i in sorted(inside | outside) if rows[i].strip()]
 
 
 def furniture_lines(texts: DataFrame) -> DataFrame:

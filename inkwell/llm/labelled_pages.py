@@ -1,174 +1,219 @@
-"""Lines of scraped pages labelled by hand, from which the line weights are trained.
+"""Scraped pages labelled by hand, from which the line weights are trained.
 
-FURNITURE holds lines of the site around a record, RECORD lines of records: titles, headings, lists, seals, signatures and
-sentences. A place or person name in them is an example and carries no weight (see ``lines.NAME_SLOT``).
+Each page is a block; a line that begins with ``-`` is furniture of the site, one with ``+`` belongs to the record, one with
+``=`` heads a list of other records, and ``~`` stands before those, which look like titles of the record itself. Sites,
+places and persons are made up and occur in no table; names weigh nothing beyond these pages.
 """
 
-MENU = """Home|Contact|Help|Search|Volumes|Maps|Timeline|Glossary|Log in|Shop|Staff|Donate|Site map|Visit us|About the archive|Reading rooms|Teaching packs|Exhibits A to M
-Startseite|Kontakt|Hilfe|Suche|Bände|Karten|Zeittafel|Anmelden|Lesesaal|Über das Archiv
-Accueil|Connexion|Aide|Recherche|Cartes|Chronologie|Salle de lecture|À propos"""
+PAGES = """- Harrowdale County Archive
+- Home | Collections | Maps | Timeline | Contact | Help
+- We use cookies to improve your visit. Accept all | Reject
+- You are here: Home > Collections > Volume 4
++ Minutes of the third session at Elmsworth
++ Testimony given on 3 March 1948
++ The town clerk of Elmsworth stated under oath that he had handed over 40 crates of lamp oil to the garrison, and that no receipt was given.
++ He was asked for the list. It was never found.
++ ARTICLE 7
++ 12. Rope, 30 coils
++ 13. Blankets, 112 bales, damaged
++ Total: 142 pieces
++ (Seal of the Elmsworth registry)
++ Signed at Elmsworth, 4 March 1948
+- Previous record | Contents | Next record
+= Related records
+~ Letter from Brackwater to Hollin, 2 May 1947
+~ Order 12 of the Hollin command
+- Share this page
+- Print | Mail | Save
+- Back to top
+- © 2012 Harrowdale County Archive. All rights reserved.
+- Terms of use | Privacy | Accessibility
 
-RELATED_HEADS = """In the same volume:
-Related records
-More from this series
-Readers also opened:"""
+- The Saltmarsh Papers
+- Search
+- Log in
+- Register
+- Shop
+- Donate
+- Glossary
+- Visit us
+- About the archive
+- Reading rooms
+- Teaching materials
+- Site map
+- Advertisement
++ Letter from Penmoor to the governor, 9 July 1951
++ Exhibit D-14, leaf 2
++ Sir, the bridge has been closed since the first of the month, and the families on the far side have had no bread.
++ I asked the commandant twice for a pass and was refused both times.
++ The register of 3 June lists 219 men, of whom 17 were still in the camp when the commission came.
++ Witness my hand, the clerk of Penmoor
++ Certified copy, Penmoor
+- << Earlier letter
+- Later letter >>
+- Return to the index
+- Volume list
+- Index of this volume
+- Go to page 14
+- Show image 12 of the scan
+- Enlarge text
+- Loading more pages...
+- Most read this week
+= Readers also opened:
+~ Report 9 on the Penmoor works
+- Subscribe to our newsletter
+- Follow us: radio, letters, film
+- This page has been viewed 310 times.
+- Page last changed on 8 May 2014
+- Tell us what you think of this page
+- Report an error in page 112
+- Report a problem with record 7
+- © 2014 The Saltmarsh Papers
+- Hosted by the university library
+- © 2008 Saltmarsh Map Room
+- © 2019 Penmoor Court Records
 
-FURNITURE = """Marrowfield Records Project
-Oskhaven Reading Room
-Tolberry Document Mirror
-Fenholm Papers Online
-Veldale Scan Depot
-Marrowfield Records Project. All rights reserved.
-Oskhaven Reading Room. All rights reserved.
-Tolberry Document Mirror. All rights reserved.
-Fenholm Papers Online. All rights reserved.
-Veldale Scan Depot. All rights reserved.
-© 2015 Tolberry Document Mirror
-© 2009 Marrowfield Records Project
-© 2011 Oskhaven Reading Room
-© 2013 Fenholm Papers Online
-© 2016 Veldale Scan Depot
-Hosted by the Ormerhaven University Library
-You are here: Home > Volume 12 > Marrowingate
-You are here: Home / Volume 19 > Haskermoor
-You are here: Home » Volume 20 > Skerdale
-Home > Volume 30 > Skerdale
-Home / Volume 12 > Marrowvik
-Home » Volume 5 > Ruskerstow
-Start > Volume 28 > Yarastow
-Start / Volume 28 > Ormerdale
-Start » Volume 9 > Feninberry
-Earlier record | Contents | Later record
-<< Earlier record
-Later record >>
-Earlier paper
-Later paper
-Go back one leaf
-Go on one leaf
-Index of this volume
-Volume list
-Return to volume index
-All records of Ormaheim
-See also: The Braminmarket papers
-Related records: Tolinreach, Tolstow
-Most read this week
-Advertisement
-Share this page
-Print | Mail | Save
-[+] Enlarge text
-Show image 534 of the scan
-Jump to leaf 12
-Loading more records...
-Back to top
-Top of page
-Accessibility statement
-Terms of use | Privacy | Imprint
-Tell us what you think of the new reader
-Report an error in record 2817
-This page has been viewed 4411 times.
-Page last changed on 22 July 2013
-Follow us: letters, radio, film
-Subscribe to our newsletter and receive one document a week.
-Subscribe to our letter from the reading room
-Your privacy matters to us. Manage choices or accept and close.
-By using these pages you accept our data notice, version 6.
-This site uses cookies to count visits. Accept all | Settings
-We store small files on your device to remember your reading position. OK
-Cookies help us keep the Dunmere collection online. By reading on you agree to their use.
-Vorheriges Blatt
-Inhalt des Bandes
-Nächstes Blatt
-Newsletter abonnieren
-Impressum | Datenschutz
-Alle Rechte vorbehalten.
-Nach oben
-Zum Seitenanfang
-Barrierefreiheit
-Anzeige
-Diesen Text teilen
-Das könnte Sie auch interessieren
-Diese Website verwendet Cookies. Alle annehmen
-Mit der Nutzung dieser Seiten stimmen Sie der Datenschutzerklärung zu.
-Pièce précédente
-Sommaire du volume
-Pièce suivante
-S'abonner à la lettre
-Mentions légales | Confidentialité
-Tous droits réservés.
-Retour en haut
-Haut de page
-Accessibilité
-Publicité
-À lire aussi
-Partager ce texte
-Ce site utilise des témoins de connexion. Tout accepter
-En poursuivant, vous acceptez notre politique de confidentialité."""
+- Nordholm Digital Library
+- Contact
+- Help
+- Search
+- Maps
+- Volumes
+- Timeline
+- Staff
+- By using this site you accept our privacy notice, version 3.
+- Your privacy matters to us. Manage your choices or accept and close.
++ Proceedings of the inquiry, 14 October 1949
++ THE PRESIDENT: When did you last see the ledger?
++ I saw it myself on the table of the paymaster, and I signed for it.
++ The doctor was present, but he did not speak.
++ Preliminary remarks
++ Under paragraph 5 of the order the stores were to be opened in the presence of two witnesses.
++ The keys of the depot were kept by the night watchman, as the whole street knew.
++ Count 2 of the indictment
++ Wagon 77, sealed at the border
++ Hut 3: 54 persons
++ Paid to the council: 90 crowns
++ Statement of facts
++ Conclusions
++ Findings as to the second charge
++ Section 4: Property removed from the school
++ Contents of the safe
++ The events at the harbour
++ (s) the notary
++ Done in two languages
+- See also: The Wexcombe papers
+- Related records: Wexcombe, Lowmere
+= More from this series
+= In the same volume:
+~ Daybook of the office, 3 January 1950
+~ Affidavit taken at Lowmere, 6 April 1950
+~ Evidence group A-2: Wexcombe
+- Next document
+- Previous document
+- Top of page
+- Sign up for our letter
+- We store files on your device to remember your reading place. OK
+- Cookies help us keep this collection online. By reading on you agree to their use.
+- All records of Wexcombe
+- Imprint | Privacy | Terms of use
 
-TITLES = """Daybook of the registry, 25 December 1954
-Report B-133 on the Narinmere works
-Record of the Yarerholm inquiry, volume 15
-Evidence group M-165: Oskford
-Letter from Naravik to Bramermoor, 10 April 1953
-Order 40 of the Brammarket command
-Papers of the Zanaberry commission, file 5
-Affidavit taken at Junermoor, 5 June 1952
-Minutes of the ninth session at Woldford
-Proceedings of the Marrowfield Tribunal, 5 February 1951"""
+- Archiv der Grafschaft
+- Startseite | Suche | Bände | Karten | Hilfe | Kontakt
+- Anmelden
+- Zeittafel
+- Lesesaal
+- Über das Archiv
+- Diese Seite verwendet Cookies. Alle annehmen
+- Mit der Nutzung stimmen Sie der Datenschutzerklärung zu.
++ Protokoll der Sitzung vom 4. Mai 1950
++ Der Zeuge erklärte, er habe den Schlüssel am Abend dem Hafenmeister übergeben.
++ Der Schreiber las die Liste vor, und niemand widersprach.
++ Auf Verlangen des Gerichts wurde der Brief vom 2. April verlesen.
++ Die Kisten standen im Hof der Schule, wie mehrere Nachbarn bestätigten.
++ Der Arzt prüfte 14 Ausweise, was der Angeklagte bestreitet.
+- Vorheriges Blatt
+- Nächstes Blatt
+- Inhalt des Bandes
+- Zum Seitenanfang
+- Nach oben
+- Diesen Text teilen
+- Anzeige
+- Das könnte Sie auch interessieren
+- Newsletter abonnieren
+- Barrierefreiheit
+- Impressum | Datenschutz
+- Alle Rechte vorbehalten.
 
-RECORD = """Barrack 12: 87 persons
-Wagon 213, sealed at Feninfield
-Row 15: tar, rope, sailcloth
-15. Lamp oil, 85 crates
-(21) Rye, 497 sacks, damaged
-Item 7: one ledger, bound, 8 leaves
-Paid to the Caldafield council: 121 crowns
-Total: 132 crates
-Count 9 of the indictment
-ARTICLE 5
-ANNEX D-253
-SCHEDULE OF EXHIBITS
-Statement of facts
-Preliminary remarks
-Conclusions
-The menu of the officers' mess at Velawick
-The events at Oskberry
-Contents of the Thorncombe safe
-Section 21: Property removed from Lathervik
-Findings as to Fenerberry
-Testimony given on 25 November 1952
-Next document handed up: F-343
-Exhibit R-225, leaf 13
-K-102. Letter of 2 April 1954
-(Seal of the Bramheim registry)
-Signed at Ormercombe, 14 April 1950
-Certified copy, Marrowstow
-Done in four languages
-(s) the notary of Ormastow
-Witness my hand, the clerk of Calderheim"""
+- Bibliothèque du Comté
+- Accueil | Recherche | Cartes | Aide | Connexion
+- Chronologie
+- Salle de lecture
+- À propos
+- Ce site utilise des cookies et des témoins de connexion. Tout accepter
+- En poursuivant, vous acceptez notre politique de confidentialité.
++ Procès-verbal de la séance du 4 mai 1950
++ Le témoin déclara qu'il avait remis la clef au maire, et que personne ne l'avait demandée.
++ La commission entendit le notaire, puis le médecin du village.
++ Le greffier lut la liste à haute voix, ce que la défense ne conteste pas.
++ Les caisses furent comptées devant deux témoins le 3 juin 1950.
++ Il fut promu pour cela.
+- Pièce précédente
+- Pièce suivante
+- Sommaire du volume
+- Haut de page
+- Retour en haut
+- Partager ce texte
+- Publicité
+- À lire aussi
+- S'abonner à la lettre
+- Accessibilité
+- Mentions légales | Confidentialité
+- Tous droits réservés.
 
-PROSE = """The home page of the visitors' book at Junvik bears 366 signatures and the date 6 August 1952.
-He asked to be shown the previous document, which was exhibit C-12, and read it aloud.
-The cookies baked in the barracks kitchen at Skermarket were counted and 450 were found to be missing.
-The search of the eighth house at Ormermoor lasted 17 hours and produced 376 letters.
-All rights reserved to the crown under the treaty of Junmarket lapsed on 22 December 1949, 13 years after the signing.
-The table of contents of the Ebbamere register lists 549 families, of whom 5 were still living there on 25 June 1952.
-According to page 287 of the bound volume, the courier signed for 118 cases without a written order.
-The subscription list was read aloud, and the witness was asked to point out his name.
-By order number 67, the mayor requisitioned the evacuation plan in the presence of both delegations.
-He asked for help at the reading room, but the registrar had left for the station.
-The privacy of the family was respected, and the letters were sealed in the presence of counsel.
-The map of the harbour was shared among the accused before the session.
-The account was closed on the tenth of the month, and the price was never paid.
-I was told so at Lathwick.
-I saw it myself.
-Les cloches furent vendues sans ordre écrit, ce que la défense ne conteste pas.
-La page 440 du volume indique ceci : le douanier commanda les cloches peu après 19 heures.
-Le témoin déclara : le second greffier chargea 376 caisses d'huile de lampe pendant la retraite.
-Der Zollbeamte fotografierte 653 Säcke Roggen auf Verlangen des Rates.
-Seite 321 des Bandes besagt: der Hafenmeister fotografierte 211 Ausweise am Bahnhof.
-Der Gutachter übergab das Protokoll vom 8. November vor 118 Zeugen.
-The deputy harbour master handed over the sealed orders of the northern command
-when the lists were compared, the field physician conceded that
-tons of copper wire behind the customs shed
-percepteur classa les listes
-Verlangen des Rates, wie Beweisstück zeigt."""
+- Coldwater Record Office
+- Home / Volume 9 / Coldwater
+- Home » Volume 2 » Coldwater
+- Start > Volume 3 > Coldwater
+- Earlier paper
+- Later paper
+- Exhibits A to D
++ Record of the Coldwater inquiry, volume 2
++ Order 3 of the Coldwater command
++ Affidavit taken at Coldwater, 3 July 1949
++ Evidence group B-7: Coldwater
++ Daybook of the registry, 1 May 1950
++ Report C-8 on the Coldwater works
++ Papers of the harbour commission, file 3
++ The home of the widow was searched twice, and her letters were read aloud by the guard.
++ All the rights of the crown in the land lapsed under the treaty of that year.
++ The contents of the next box were shared among the men before the search was over.
++ He asked to see the previous document, and said that the page had been cut.
++ The cookies and the tea were kept for the officers, the soldiers had bread.
++ For help he went to the station, but the office was closed at 6 o'clock.
++ The menu of the mess hall, 2 May
++ Item 3: one box, locked
++ Row 5: tar, nails, canvas
++ (4) Wheat, 12 sacks
++ SCHEDULE OF EXHIBITS
++ ANNEX 3
++ when the lists were compared, the mayor conceded that
++ tons of copper wire behind the shed
++ nobody in the village was told.
++ I was told so at the mill.
++ the burning of the papers
++ F-12. Letter of 9 June 1950
++ Next document handed up: C-12
+- Contact | Staff | Help
+- Print this page
+- Jump to page 3
+- Go back one page
+- Go on one page
+- Table of contents
+- Subscribe to our newsletter and receive one letter a month.
+- Page updated on 3 March 2016
+- See also: The mill papers
+- Related papers: Coldwater, Lowmere
+- What do you think of the new site?
+- Tell us what you think
+- © 2016 Coldwater Record Office"""

@@ -1,4 +1,4 @@
-"""Line weights of scraped pages, trained on labelled lines, and what a line is by its form."""
+"""Line weights of scraped pages, trained on labelled pages; and, for cut texts, what a line is by its form."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 
-from inkwell.llm import labelled_pages as known
+from inkwell.llm import known_lines as known
+from inkwell.llm.labelled_pages import PAGES
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+")
 SEPARATOR = re.compile(r"\s[|·»>/]\s")
@@ -25,12 +26,16 @@ def lines_of(block: str) -> list[str]:
     return block.split("\n")
 
 
-def _labelled() -> tuple[list[str], list[str]]:
-    items = [i for row in lines_of(known.MENU) for i in row.split("|")]
-    menus = [sep.join(items[k : k + 3]) for k in range(0, len(items) - 2, 2) for sep in (" | ", " · ", " » ", " / ")]
-    furniture = [*items, *menus, *lines_of(known.FURNITURE), *lines_of(known.RELATED_HEADS)]
-    record = [*lines_of(known.TITLES), *lines_of(known.RECORD), *lines_of(known.PROSE)]
-    return furniture, record
+def labelled(pages: str = PAGES) -> tuple[list[str], list[str]]:
+    """Furniture lines and record lines of labelled pages; titles of other records, which look like both, are neither."""
+    marked = [row for row in pages.split("\n") if row]
+    return [r[2:] for r in marked if r[0] in "-="], [r[2:] for r in marked if r[0] == "+"]
+
+
+@lru_cache(maxsize=1)
+def list_heads() -> frozenset[str]:
+    """Headings of lists of other records, in lower case."""
+    return frozenset(row[2:].lower() for row in PAGES.split("\n") if row[:1] == "=")
 
 
 def features(line: str) -> list[str]:
@@ -50,9 +55,8 @@ def features(line: str) -> list[str]:
 @lru_cache(maxsize=1)
 def weights() -> dict[str, float]:
     """Weight of each word and tag: above 0 for the record, below for furniture (logistic regression, fixed steps)."""
-    furniture, record = _labelled()
+    furniture, record = labelled()
     rows = [(features(x), y) for y, group in ((0.0, furniture), (1.0, record)) for x in group]
-    # names differ from page to page: a feature of a single labelled line is kept only for lines without a name
     index = {f: i for i, f in enumerate(sorted({f for fs, _ in rows for f in fs}))}
     x = np.zeros((len(rows), len(index)))
     for k, (fs, _) in enumerate(rows):

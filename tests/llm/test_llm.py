@@ -256,3 +256,14 @@ def test_word_hashes_forget_beyond_their_bound():
     h = WordHashes()
     h.BOUND = 2
     assert [h[w] for w in "abc"] == [WordHashes()[w] for w in "abc"]
+
+
+def test_runs_below_a_sum_are_found():
+    assert boilerplate.islands([1, -2, -2, 1, -1, 5, -1, 3, -4], -2.5) == [(1, 3), (8, 9)]
+    assert boilerplate.islands([-1, -1, -1, 9], -2.5) == [(0, 3)] and boilerplate.islands([], -1) == [] and boilerplate.islands([2, 3], -1) == []
+
+
+def test_sites_of_the_test_page_are_in_no_labelled_page():
+    from inkwell.llm.labelled_pages import PAGES
+
+    assert not any(site in PAGES for site in ("Oskhaven", "Marrowfield", "Tolberry", "Fenholm", "Veldale"))

@@ -2,9 +2,10 @@
 
 Strings are counted once each, cut into title, given name and surname (or office, or the words of a delegation), and
 folded to a key. Keys within two edits are found by a metric-space join (pivots, boundary copies by the triangle
-inequality, an exact edit metric in each cell); of these a key joins its most frequent neighbour when one edit or one
-exchange of neighbouring letters parts them and neither title nor given name speaks against it. Below a surname, persons
-are told apart by given name, initial and title: two of one surname with other given names or initials stay two.
+inequality, an exact edit metric in each cell); of these a key joins its nearest and most frequent neighbour when one edit or
+one exchange of neighbouring letters parts them, or two edits a long key from a much more frequent one, and neither title
+nor given name speaks against it. Chains are closed by connected components. Below a surname, persons are told apart by
+given name, initial and title: two of one surname with other given names or initials stay two.
 
 Nulls and empty strings are left out. Strings without a letter are entities of their own. Repeated rows count once each.
 """
@@ -14,11 +15,12 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.batches import map_columns
-from inkwell.operators.metric_join import radius_pairs
+from inkwell.llm.components import connected_components, pointer_roots
+from inkwell.llm.metric_join import radius_pairs
 from inkwell.sources.shared import materialise
 
 # Titles and their short forms, and the offices of a court.
@@ -30,6 +32,8 @@ TITLES = {
 OFFICES = ("president", "marshal", "interpreter", "registrar", "stenographer", "secretary", "clerk", "bailiff", "usher", "prosecutor", "chairman", "translator", "reporter", "witness")
 OCR = str.maketrans("01358", "oiesb")
 _NOISE = re.compile(r"\((?:continuing|through [^)]*)\)|\[[^\]]*microphone[^\]]*\]|^\s*>+|SPEAKER \d+:|[\[(]?\b\d{1,2}[:.]\d\d(?::\d\d)?\b[\])]?")
+#: The length from which a key may be two edits away, and how seldom such a key must then be against its hub.
+LONG_KEY, SELDOM = 9, 0.2
 _SMALL = {"of", "the", "and", "fo", "teh", "hte", "o", "th", "te", "for"}
 
 
@@ -151,6 +155,12 @@ def _nick(short: Column, full: Column) -> Column:
     return (F.length(full) > F.length(short)) & ((F.length(short) >= 3) & F.startswith(full, short) | (F.length(stem) >= 2) & (F.length(stem) < F.length(short)) & F.startswith(full, stem))
 
 
+def _shortened(c: Column) -> Column:
+    """A string and what is left of it without one letter: two strings share one if one edit or one exchange parts them."""
+    at = F.sequence(F.lit(1), F.length(c))
+    return F.array_distinct(F.concat(F.array(c), F.transform(at, lambda i: F.concat(F.left(c, i - 1), F.substr(c, i + 1)))))
+
+
 def entities(strings: DataFrame, column: str) -> DataFrame:
     """Each distinct string with its entity: name, entity."""
     f = materialise(_oriented(forms(strings, column)))
@@ -160,19 +170,24 @@ def entities(strings: DataFrame, column: str) -> DataFrame:
         F.collect_set(F.when(F.length("b") > 2, F.substring("b", 1, 2))).alias("givens"),
     ).withColumn("key", F.concat(F.substring("kind", 1, 2), F.col("a")))
     keys = materialise(keys)
-    close = radius_pairs(keys, "key", 2).where(_near(F.col("x"), F.col("y")))
-    both = close.select(F.col("x").alias("key"), F.col("y").alias("hub")).unionByName(close.select(F.col("y").alias("key"), F.col("x").alias("hub")))
+    x, y = F.col("x"), F.col("y")
+    close = radius_pairs(keys, "key", 2, weight="n").withColumn("one", _near(x, y))
+    close = close.where(F.col("one") | (F.least(F.length(x), F.length(y)) >= LONG_KEY))
+    both = close.select(x.alias("key"), y.alias("hub"), "one").unionByName(close.select(y.alias("key"), x.alias("hub"), "one"))
     hub = keys.select(F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("titles").alias("hub_titles"), F.col("givens").alias("hub_givens"))
     against = lambda mine, theirs: (F.size(mine) > 0) & (F.size(theirs) > 0) & ~F.arrays_overlap(mine, theirs)
     bigger = (F.col("hub_n") > F.col("n")) | ((F.col("hub_n") == F.col("n")) & (F.col("hub") < F.col("key")))
+    # a short name is near many others: it needs a title or given name in common
+    agree = F.arrays_overlap("titles", "hub_titles") | F.arrays_overlap("givens", "hub_givens")
     fits = both.join(keys, "key").join(hub, "hub").where(
-        bigger & (F.length("key") > 5) & ~against(F.col("titles"), F.col("hub_titles"))
+        bigger & ((F.length("key") > 5) | agree) & ~against(F.col("titles"), F.col("hub_titles"))
         & (~against(F.col("givens"), F.col("hub_givens")) | (F.col("kind") == "org"))
-        & ((F.col("n") <= 0.5 * F.col("hub_n")) | (F.col("forms") <= 2))
+        & ((F.col("n") <= 0.5 * F.col("hub_n")) | (F.col("forms") <= 2)) & (F.col("one") | (F.col("n") <= SELDOM * F.col("hub_n")))
     )
-    to = materialise(fits.groupBy("key").agg(F.max_by("hub", F.struct("hub_n", "hub")).alias("hub")))
-    twice = to.join(to.select(F.col("key").alias("hub"), F.col("hub").alias("top")), "hub", "left").select("key", F.coalesce("top", "hub").alias("hub"))
-    rooted = f.withColumn("key", F.concat(F.substring("kind", 1, 2), F.col("a"))).join(twice, "key", "left").withColumn("root", F.coalesce("hub", "key"))
+    to = fits.groupBy("key").agg(F.max_by("hub", F.struct("one", "hub_n", "hub")).alias("hub"))
+    # pointers are followed to their end, however long the chain
+    roots = pointer_roots(to.select(F.col("key").alias("node"), F.col("hub").alias("to"))).select(F.col("node").alias("key"), F.col("root").alias("top"))
+    rooted = f.withColumn("key", F.concat(F.substring("kind", 1, 2), F.col("a"))).join(roots, "key", "left").withColumn("root", F.coalesce("top", "key"))
     rooted = materialise(rooted.select("name", "n", "kind", "a", "title", "b", "root"))
     # 2. delegations by their initials
     orgs = rooted.where("kind = 'org' and b != ''").select(
@@ -180,35 +195,48 @@ def entities(strings: DataFrame, column: str) -> DataFrame:
     ).groupBy("a").agg(F.max_by("root", F.struct("n", "root")).alias("org"))
     plain = rooted.where("kind != 'person'").join(orgs, "a", "left")
     others = plain.select("name", F.when(F.col("kind") == "acronym", F.coalesce("org", "root")).otherwise(F.col("root")).alias("entity"))
-    # 3. persons below a surname
+    # 3. persons below a surname: given names that stand for a fuller or more frequent one
     p = rooted.where("kind = 'person'").select("name", "n", "title", "root", F.col("b").alias("given"))
-    g = materialise(p.where("length(given) > 1").groupBy("root", "given").agg(F.sum("n").alias("n")))
+    g = p.where("length(given) > 1").groupBy("root", "given").agg(F.sum("n").alias("n"))
+    g = materialise(g)
     full = g.select("root", F.col("given").alias("to"), F.col("n").alias("to_n"))
-    nick = _nick(F.col("given"), F.col("to"))
-    spelt = (F.length("given") > 3) & (F.levenshtein("given", "to") <= 2) & _near(F.col("given"), F.col("to"))
+    # pairs meet on a beginning or a shortened form, never all with all
+    stem = F.regexp_replace("given", "(?:ie|ey|y)$", "")
+    beginnings = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("to") - 1)), lambda k: F.left("to", k))
+    nicks = g.select("*", F.explode(F.array_distinct(F.array("given", stem))).alias("meet")).join(full.select("*", F.explode(beginnings).alias("meet")), ["root", "meet"])
+    nicks = nicks.where((F.col("given") != F.col("to")) & _nick(F.col("given"), F.col("to")))
     more = (F.col("to_n") > F.col("n")) | ((F.col("to_n") == F.col("n")) & (F.col("to") < F.col("given")))
-    means = g.join(full, "root").where((F.col("given") != F.col("to")) & (nick | (spelt & more)))
-    best = means.groupBy("root", "given").agg(F.max_by("to", F.struct("to_n", "to")).alias("to"))
-    best2 = best.join(best.select("root", F.col("to").alias("to2"), F.col("given").alias("to")), ["root", "to"], "left").select("root", "given", F.coalesce("to2", "to").alias("to"))
-    whose = g.join(best2, ["root", "given"], "left").select("root", "given", F.coalesce("to", "given").alias("person"))
-    named = p.join(whose, ["root", "given"], "left")
+    near = g.where("length(given) > 3").select("*", F.explode(_shortened(F.col("given"))).alias("meet")).join(full.select("*", F.explode(_shortened(F.col("to"))).alias("meet")), ["root", "meet"])
+    near = near.where((F.col("given") != F.col("to")) & more & _near(F.col("given"), F.col("to")) & (F.levenshtein("given", "to") <= 2))
+    best = nicks.select("root", "given", "to", "to_n").unionByName(near.select("root", "given", "to", "to_n")).groupBy("root", "given").agg(F.max_by("to", F.struct("to_n", "to")).alias("to"))
+    node = lambda c: F.concat("root", F.lit("\t"), c)
+    tops = connected_components(best.select(node(F.col("given")).alias("a"), node(F.col("to")).alias("b"))).select(
+        F.substring_index("node", "\t", 1).alias("root"), F.substring_index("node", "\t", -1).alias("given"), F.col("root").alias("top")
+    )
+    # a component is named by its most frequent given name
+    grouped = g.join(tops, ["root", "given"], "left").withColumn("top", F.coalesce("top", node(F.col("given"))))
+    called = grouped.groupBy("root", "top").agg(F.max_by("given", F.struct("n", "given")).alias("person"))
+    whose = materialise(grouped.join(called, ["root", "top"]).select("root", "given", "person"))
+    named = materialise(p.join(whose, ["root", "given"], "left"))
+    # 4. initials and lone surnames: what each may stand for is counted, so that no surname is gathered in one place
     persons = named.where("person is not null").groupBy("root", "person").agg(F.collect_set(F.when(F.col("title") != "", F.col("title"))).alias("titles"))
-    of = materialise(persons.groupBy("root").agg(F.collect_list(F.struct("person", "titles")).alias("persons")))
-    at = named.join(of, "root", "left").withColumn("persons", F.coalesce("persons", F.array().cast(of.schema["persons"].dataType)))
-    starts = F.filter("persons", lambda x: F.startswith(x["person"], F.col("given")))
-    titled = F.filter("persons", lambda x: F.array_contains(x["titles"], F.col("title")))
-    free = F.filter("persons", lambda x: (F.col("title") == "") | (F.size(x["titles"]) == 0) | F.array_contains(x["titles"], F.col("title")))
-    only = lambda c: F.when(F.size(c) == 1, c[0]["person"])
-    by_given = F.when(F.length("given") == 1, F.coalesce(only(starts), F.when((F.col("given") == "q") | (F.size("persons") == 0), F.lit("")), F.col("given")))
-    by_title = F.coalesce(F.when(F.size("persons") == 1, only(free)), only(titled))
-    who = F.coalesce(F.col("person"), by_given)
-    settled = at.withColumn("who", F.when(F.col("given") == "", by_title).otherwise(who))
-    settled = settled.withColumn("who", F.when((F.col("who") == "") & (F.size("persons") == 1), F.col("persons")[0]["person"]).otherwise(F.col("who")))
-    one = Window.partitionBy("root")
-    lone = F.when(F.size("persons") == 0, F.lit("")).otherwise(F.concat(F.lit("?"), F.col("title")))
-    initials = F.collect_set(F.when((F.length("given") == 1) & (F.col("given") != "q"), F.col("given"))).over(one)
-    settled = settled.withColumn("initials", initials)
-    guess = F.when((F.size("persons") == 0) & (F.size("initials") <= 1), F.lit("")).otherwise(F.coalesce("who", lone))
+    by_root = persons.groupBy("root").agg(F.count(F.lit(1)).alias("n_persons"), F.min("person").alias("lone"), F.min_by("titles", "person").alias("lone_titles"))
+    by_letter = persons.groupBy("root", F.left("person", F.lit(1)).alias("given")).agg(F.count(F.lit(1)).alias("n_starts"), F.min("person").alias("starts"))
+    by_title = persons.select("root", "person", F.explode("titles").alias("title")).groupBy("root", "title").agg(F.count(F.lit(1)).alias("n_titled"), F.min("person").alias("titled"))
+    letters = named.where("length(given) = 1 and given != 'q'").groupBy("root").agg(F.count_distinct("given").alias("n_letters"))
+    at = named.join(by_root, "root", "left").join(by_letter, ["root", "given"], "left").join(by_title, ["root", "title"], "left").join(letters, "root", "left")
+    at = at.withColumns({"n_persons": F.coalesce("n_persons", F.lit(0)), "n_letters": F.coalesce("n_letters", F.lit(0))})
+    free = (F.col("title") == "") | (F.size("lone_titles") == 0) | F.array_contains("lone_titles", F.col("title"))
+    lone = F.when(F.col("n_persons") == 1, F.col("lone"))
+    by_given = F.when(
+        F.length("given") == 1,
+        F.coalesce(F.when(F.col("n_starts") == 1, F.col("starts")), F.when((F.col("given") == "q") | (F.col("n_persons") == 0), F.lit("")), F.col("given")),
+    )
+    by_title = F.coalesce(F.when(free, lone), F.when(F.col("n_titled") == 1, F.col("titled")))
+    settled = at.withColumn("who", F.when(F.col("given") == "", by_title).otherwise(F.coalesce(F.col("person"), by_given)))
+    settled = settled.withColumn("who", F.when((F.col("who") == "") & (F.col("n_persons") == 1), F.col("lone")).otherwise(F.col("who")))
+    unknown = F.when(F.col("n_persons") == 0, F.lit("")).otherwise(F.concat(F.lit("?"), F.col("title")))
+    guess = F.when((F.col("n_persons") == 0) & (F.col("n_letters") <= 1), F.lit("")).otherwise(F.coalesce("who", unknown))
     return others.unionByName(settled.select("name", F.concat_ws("/", "root", guess).alias("entity")))
 
 

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.batches import map_columns
 from inkwell.llm.words import WordHashes, hashed_words, mix, rolling
-from inkwell.operators.bit_filter import bit_filter
-from inkwell.operators.components import connected_components
+from inkwell.llm.bit_filter import bit_filter
+from inkwell.llm.components import connected_components
 from inkwell.sources.shared import materialise
 
 BANDS, ROWS_A_BAND = 80, 5

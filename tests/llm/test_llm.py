@@ -156,6 +156,13 @@ def test_spellings(spark):
     assert got == {tuple(sorted((a, b))) for g in groups for a in g for b in g if a < b}
 
 
+def test_two_edits_chains_and_short_names(spark):
+    rows = [("MR. HOLGAMARSTOV",)] * 40 + [("HOLGANARSTOW",)] * 3 + [("HOLGANARSTOWE",)] + [("HOLGANARSTOWEN",)] + [("DR. ANNA LIO",)] * 9 + [("DR. ANNA LIOS",)] + [("MR. LUO",)] * 9
+    linked = {r.name: r.entity for r in names.entities(spark.createDataFrame(rows, "n string"), "n").collect()}
+    assert len({linked[x] for x in ("MR. HOLGAMARSTOV", "HOLGANARSTOW", "HOLGANARSTOWE", "HOLGANARSTOWEN")}) == 1
+    assert linked["DR. ANNA LIO"] == linked["DR. ANNA LIOS"] != linked["MR. LUO"]
+
+
 # 8
 def test_packing(spark):
     sizes = [random.randrange(1, 700) for _ in range(600)] + [2500]

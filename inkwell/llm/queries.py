@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.llm import boilerplate, contamination, names, near_duplicates, offensive, packing, splitting, token_budget, transcripts, truncation
+from inkwell.llm.batches import tokenizer_path
 from inkwell.sources.tables import table
 
 
@@ -132,17 +133,20 @@ def p7_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # 8 -------------------------------------------------------------------------------------------------------------------
-def _packed(spark: SparkSession, sf: str) -> DataFrame:
-    capacity = table(spark, sf, "size_limits").where("slice_name = 'container'").select("max_tokens").first()[0]
-    return packing.pack(table(spark, sf, "documents").select("doc_id", "text"), int(capacity))
+def _packed(spark: SparkSession, sf: str, vocabulary: str | None) -> DataFrame:
+    row = table(spark, sf, "size_limits").where("slice_name = 'container'").select("max_tokens").first()
+    if row is None:
+        raise ValueError("size_limits has no row for container")
+    return packing.pack(table(spark, sf, "documents").select("doc_id", "text"), int(row[0]), vocabulary=vocabulary)
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _packed(spark, sf).where("n_pieces > 1").select("doc_id").distinct()
+    # its definition counts tokens offline
+    return _packed(spark, sf, None).where("n_pieces > 1").select("doc_id").distinct()
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
-    return _packed(spark, sf)
+    return _packed(spark, sf, tokenizer_path(token_budget.VOCABULARY))
 
 
 # 9 -------------------------------------------------------------------------------------------------------------------

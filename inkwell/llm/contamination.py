@@ -1,8 +1,8 @@
 """Problem 9: passages of held-out items inside the training documents.
 
-The word n-grams of all items are a broadcast set; every n-gram of every document is looked up in it by hash, and a hit
-counts only when the words themselves are equal. The set is broadcast only while the items have at most ``MAX_WORDS``
-words; beyond that the same n-grams meet in a shuffle join.
+The word n-grams of all items are a broadcast set of hashes, held as a table of bits whose size is bounded. Every n-gram of
+every document is looked up in it; the hits meet the items' n-grams in a join on the words themselves, which verifies them,
+and hits in a row are put together to spans.
 
 Nulls: null and empty texts, and texts or items of less than ``n`` words, have no n-gram and give no row. Repeated ids are
 put together. Empty tables give no rows.
@@ -11,7 +11,6 @@ put together. Empty tables give no rows.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -21,87 +20,75 @@ from inkwell.llm.batches import map_columns
 from inkwell.llm.words import WORD, WordHashes, hashed_words, windows, words
 
 WORDS_IN_A_ROW = 12
-#: Words of all items up to which their n-grams are broadcast: about 100 bytes each on a worker.
-MAX_WORDS = 2_000_000
+#: Least and most bits (powers of two) of the table of hashes, and bits an n-gram between these: at most 16 MB are sent.
+#: Beyond eight million n-grams more hits are false ones, which the join then drops.
+LEAST_BITS, MOST_BITS, BITS_A_GRAM = 15, 27, 16
 
-HITS = "doc_id bigint, item_id bigint, begin bigint, `end` bigint"
 
+def _item_grams(items: DataFrame, n: int) -> DataFrame:
+    """Distinct n-grams of the items: item_id, hash, gram."""
 
-def hits(documents: DataFrame, items: DataFrame, n: int = WORDS_IN_A_ROW, max_words: int = MAX_WORDS) -> DataFrame:
+    def kernel(c: dict, memo: WordHashes) -> dict:
+        h, starts = hashed_words(c["text"], memo)
+        g, owner, pos = windows(h, starts, n)
+        said = [words(t) for t in c["text"]]
+        return {
+            "item_id": [c["item_id"][o] for o in owner.tolist()], "hash": g.view(np.int64),
+            "gram": [" ".join(said[o][p : p + n]) for o, p in zip(owner.tolist(), pos.tolist())],
+        }
+
+    return map_columns(items, kernel, "item_id bigint, hash bigint, gram string", WordHashes).distinct()
+
+
+def _bit_table(grams: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of hash bits looked at, and the table: whether some n-gram has these bits."""
+    total = grams.agg(F.approx_count_distinct("hash")).first()[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, int(max(1, total) * BITS_A_GRAM - 1).bit_length()))
+    place = F.shiftrightunsigned("hash", 64 - bits) + 1  # buckets and their bits count from 1
+    parts = grams.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("b"))
+    table = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for r in parts.collect():  # at most 2**27 bits
+        at = (r.no - 1) * 4096
+        part = np.frombuffer(bytes(r.b), dtype=np.uint8)
+        table[at : at + 4096] |= part[: len(table) - at]
+    return bits, table
+
+
+def hits(documents: DataFrame, items: DataFrame, n: int = WORDS_IN_A_ROW) -> DataFrame:
     """Maximal runs of words that a document shares with an item: doc_id, item_id, begin, end (characters of the text)."""
-    documents = documents.select(F.col("doc_id").cast("bigint"), "text")
-    items = items.select(F.col("item_id").cast("bigint"), "text").where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    if size > max_words * 6:
-        return _joined(documents, items, n)
-    known = [(r.item_id, words(r.text)) for r in items.collect()]  # bounded just above
-
-    def setup() -> tuple:
-        memo = WordHashes()
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, w) in enumerate(known):
-            h, starts = hashed_words([" ".join(w)], memo)
-            for x, p in zip(*(a.tolist() for a in windows(h, starts, n)[::2])):
-                places[x].append((k, p))
-        return memo, places, np.array(sorted(places), dtype=np.uint64)
+    documents = documents.select(F.col("doc_id").cast("bigint"), "text").where(F.col("text").isNotNull())
+    grams = _item_grams(items.select(F.col("item_id").cast("bigint"), "text").where(F.col("text").isNotNull()), n)
+    bits, table = _bit_table(grams)
+    shared = documents.sparkSession.sparkContext.broadcast(table)  # at most 16 MB
 
     def kernel(c: dict, state: tuple) -> dict:
-        memo, places, grams = state
-        out: dict[str, list] = {"doc_id": [], "item_id": [], "begin": [], "end": []}
+        memo, table = state
+        out: dict[str, list] = {k: [] for k in ("doc_id", "copy", "hash", "gram", "pos", "begin", "end")}
         h, starts = hashed_words(c["text"], memo)
         g, owner, pos = windows(h, starts, n)
-        if not len(g) or not len(grams):
-            return out
-        found = grams[np.minimum(np.searchsorted(grams, g), len(grams) - 1)] == g
-        by: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for o, p, x in zip(owner[found].tolist(), pos[found].tolist(), g[found].tolist()):
-            by[o].append((p, x))
-        for o, at in by.items():
-            text = c["text"][o]
-            low = text.lower()
-            spans = [(m.start(), m.end()) for m in WORD.finditer(low)]
-            if len(low) != len(text):  # lower case may be longer; then places are sought in the text itself
-                spans = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
-            w = words(text)
-            runs: dict[int, list[list[int]]] = defaultdict(list)
-            for p, x in at:
-                for k, q in places[x]:
-                    if known[k][1][q : q + n] == w[p : p + n]:
-                        r = runs[known[k][0]]
-                        if r and p <= r[-1][1]:
-                            r[-1][1] = max(r[-1][1], p + n)
-                        else:
-                            r.append([p, p + n])
-            for item, r in runs.items():
-                for a, b in r:
-                    last = len(spans) - 1
-                    for key, v in (("doc_id", c["doc_id"][o]), ("item_id", item), ("begin", spans[min(a, last)][0]), ("end", spans[min(b - 1, last)][1])):
-                        out[key].append(v)
+        place = (g >> np.uint64(64 - bits)).astype(np.int64)
+        found = np.flatnonzero(table[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+        seen, spans, said = -1, [], []
+        for o, p, x in zip(owner[found].tolist(), pos[found].tolist(), g[found].view(np.int64).tolist()):
+            if o != seen:
+                seen, text = o, c["text"][o]
+                low = text.lower()
+                # lower case may be longer; then places are sought in the text itself
+                spans = [(m.start(), m.end()) for m in (WORD if len(low) == len(text) else re.compile(r"[^\W_]+")).finditer(low if len(low) == len(text) else text)]
+                said = words(text)
+            last = len(spans) - 1
+            for k, v in zip(out, (c["doc_id"][o], c["copy"][o], x, " ".join(said[p : p + n]), p, spans[min(p, last)][0], spans[min(p + n - 1, last)][1])):
+                out[k].append(v)
         return out
 
-    return map_columns(documents, kernel, HITS, setup)
-
-
-def _joined(documents: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """The same runs, by a join on the n-grams: for item sets too large to broadcast."""
-
-    def grams(df: DataFrame, key: str) -> DataFrame:
-        def kernel(c: dict, _) -> dict:
-            out: dict[str, list] = {key: [], "gram": [], "pos": [], "begin": [], "end": []}
-            for i, text in zip(c[key], c["text"]):
-                at = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text or "")]
-                for p in range(len(at) - n + 1):
-                    for k, v in ((key, i), ("gram", " ".join(x[0] for x in at[p : p + n])), ("pos", p), ("begin", at[p][1]), ("end", at[p + n - 1][2])):
-                        out[k].append(v)
-            return out
-
-        return map_columns(df, kernel, f"{key} bigint, gram string, pos bigint, begin bigint, `end` bigint")
-
-    both = grams(documents, "doc_id").join(grams(items, "item_id").select("item_id", "gram").distinct(), "gram")
+    schema = "doc_id bigint, copy bigint, hash bigint, gram string, pos bigint, begin bigint, `end` bigint"
+    found = map_columns(documents.select("doc_id", "text", F.xxhash64("text").alias("copy")), kernel, schema, lambda: (WordHashes(), shared.value))
+    both = found.join(grams, ["hash", "gram"])
+    # runs of one text; their number is bounded by its length
+    w = Window.partitionBy("doc_id", "copy", "item_id").orderBy("pos")
     gap = F.sum(F.when(F.col("pos") <= F.col("before") + n, 0).otherwise(1))
-    w = Window.partitionBy("doc_id", "item_id").orderBy("pos")
     runs = both.withColumn("before", F.lag("pos").over(w)).withColumn("run", gap.over(w))
-    return runs.groupBy("doc_id", "item_id", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("run")
+    return runs.groupBy("doc_id", "copy", "item_id", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).select("doc_id", "item_id", "begin", "end")
 
 
 def leaked(found: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ AROUND, LEAST, TIMES = 40, 5, 4.0
 TAIL = 400
 
 
-def ends_cut(tail: str, whole_text: bool) -> bool:
+def ends_cut(tail: str) -> bool:
     """Whether a text that ends in ``tail`` breaks off: within a sentence, or within a known line."""
     rows = tail.rstrip().split("\n")
     last = rows[-1].strip()
@@ -49,7 +49,7 @@ def ends_cut(tail: str, whole_text: bool) -> bool:
 def _lengths(texts: DataFrame) -> DataFrame:
     return texts.select(
         "tbl", "id", "collection", host_of(F.col("url")).alias("host"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"),
-        F.xxhash64("text").alias("digest"), F.right("text", F.lit(TAIL)).alias("tail"), (F.length("text") <= TAIL).alias("all_of_it"),
+        F.xxhash64("text").alias("digest"), F.right("text", F.lit(TAIL)).alias("tail"),
     )
 
 
@@ -70,7 +70,27 @@ def spikes(sized: DataFrame) -> DataFrame:
 
 
 def _tested(counted: DataFrame, by: list[str]) -> DataFrame:
-    """The spikes of the sources that ``by`` tells apart; the other column is ``*``."""
+    """The spikes of the sources that ``by`` tells apart; the other column is ``*``.
+
+    Bytes and characters of plain text agree, so the measure with the higher spike of a source comes first; of the other
+    one a spike counts only if it stands without the rows at the first one's spikes.
+    """
+    high = _spiky(counted, by)
+    of_source = Window.partitionBy("tbl", "host", "collection")
+    best = F.max_by("measure", F.struct("n", "measure")).over(of_source)
+    first = materialise(high.withColumn("best", best).where("measure = best").drop("best"))
+    rest = counted
+    keys = [c for c in ("host", "collection") if c in by]
+    for measure in ("chars", "bytes"):
+        explained = first.where(F.col("measure") == measure).select("tbl", *keys, F.col("length").alias(measure))
+        rest = rest.join(explained, ["tbl", *keys, measure], "left_anti")
+    measured = first.select("tbl", "host", "collection", "measure").distinct()
+    second = _spiky(rest, by).join(measured, ["tbl", "host", "collection", "measure"], "left_anti")
+    return first.unionByName(second.select(*first.columns))
+
+
+def _spiky(counted: DataFrame, by: list[str]) -> DataFrame:
+    """Lengths at which many more texts end than at those around: tbl, host, collection, measure, length, n, expected."""
     source = [F.col(c) if c in by else F.lit("*").alias(c) for c in ("host", "collection")]
     parts = [counted.select("tbl", *source, F.lit(m).alias("measure"), F.col(m).alias("length"), "n") for m in ("chars", "bytes")]
     hist = parts[0].unionByName(parts[1]).groupBy("tbl", "host", "collection", "measure", "length").agg(F.sum("n").alias("n"))
@@ -79,10 +99,7 @@ def _tested(counted: DataFrame, by: list[str]) -> DataFrame:
     above = F.coalesce(F.sum("n").over(w.rangeBetween(1, AROUND)), F.lit(0)) / AROUND
     tested = hist.withColumn("expected", F.greatest(below, (below + above) / 2))
     high = (F.col("n") >= LEAST) & (F.col("n") >= TIMES * F.col("expected")) & (F.col("n") >= F.col("expected") + 6 * F.sqrt("expected") + 4)
-    # bytes and characters of plain text agree: of the two measures of a source the one with the higher spike holds
-    of_source = Window.partitionBy("tbl", "host", "collection")
-    peaks = tested.where(high).withColumn("peak", F.max("n").over(of_source.partitionBy("tbl", "host", "collection", "measure")))
-    return peaks.withColumn("best", F.max("n").over(of_source)).where("peak = best").drop("peak", "best")
+    return tested.where(high)
 
 
 def cut_rows(texts: DataFrame) -> DataFrame:
@@ -95,7 +112,7 @@ def cut_rows(texts: DataFrame) -> DataFrame:
 
     def kernel(c: dict, _) -> dict:
         out = {k: c[k] for k in ("tbl", "id", "host", "collection", "chars", "bytes")}
-        out["broken"] = [bool(t and t.strip()) and ends_cut(t, a) for t, a in zip(c["tail"], c["all_of_it"])]
+        out["broken"] = [bool(t and t.strip()) and ends_cut(t) for t in c["tail"]]
         return out
 
     judged = map_columns(
@@ -121,6 +138,7 @@ def cut_rows(texts: DataFrame) -> DataFrame:
         .agg(F.min("chance").alias("chance"))
     )
     both = judged.join(hits, ["tbl", "id"], "left")
+    # a row at a spike is there by chance with the share of rows expected at that length; a tenth is the most that is taken
     at = F.col("chance").isNotNull()
     return both.select(
         "tbl", F.col("id").alias("row_id"), "host", "collection", at.alias("at_limit"), "broken", (F.col("broken") | (at & (F.col("chance") <= 0.1))).alias("cut")

@@ -1,4 +1,4 @@
-"""A filter of fixed size for the keys of another table, so that a large side need not be shuffled to be reduced."""
+"""A filter of bounded size for the keys of another table, so that a large side need not be shuffled to be reduced."""
 
 from __future__ import annotations
 
@@ -7,17 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the filter: 2**25 bits are 4 MB, whatever the number of keys; that is what is broadcast.
-BITS = 25
+#: Least and most bits of the filter, as powers of two, and bits a key between these: 1 to 128 MB are broadcast.
+LEAST_BITS, MOST_BITS, BITS_A_KEY = 23, 30, 16
 
 
-def bit_filter(keys: DataFrame, columns: list[str]) -> Callable[[DataFrame], DataFrame]:
+def bits_for(n_keys: int) -> int:
+    """The power of two of the filter's bits: up to 67 million keys one row in 16 passes without need."""
+    return min(MOST_BITS, max(LEAST_BITS, (max(1, n_keys) * BITS_A_KEY - 1).bit_length()))
+
+
+def bit_filter(keys: DataFrame, columns: list[str], n_keys: int) -> Callable[[DataFrame], DataFrame]:
     """A function that keeps the rows of a table whose key may be among ``keys``.
 
-    No row with a key in ``keys`` is dropped; others pass with the share of set bits as probability, so the result must be
+    ``n_keys`` is about their number. No row with a key in ``keys`` is dropped; others pass with the share of set bits as probability, so the result must be
     joined with the keys where that matters. Keys with nulls are hashed like others. No keys: no row passes.
     """
-    place = F.pmod(F.xxhash64(*columns), F.lit(1 << BITS))
+    place = F.pmod(F.xxhash64(*columns), F.lit(1 << bits_for(n_keys)).cast("bigint"))
     table = (
         keys.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("_bucket_no"))

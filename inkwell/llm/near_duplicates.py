@@ -154,7 +154,7 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
 def verified(rows: DataFrame, candidates: DataFrame, width: int, similarity: float) -> DataFrame:
     """The candidates whose exact similarity reaches the bound: tbl, rep_a, rep_b, similarity.
 
-    Only texts of representatives that met another are cut into n-grams again; a bit table of fixed size tells them, so
+    Only texts of representatives that met another are cut into n-grams again; a bit table of bounded size tells them, so
     no text is shuffled. The sets are of 32-bit hashes: two n-grams of a pair share one with a probability below 1e-5 a
     thousand n-grams.
     """
@@ -163,7 +163,7 @@ def verified(rows: DataFrame, candidates: DataFrame, width: int, similarity: flo
         short = (g >> np.uint64(16)).astype(np.uint32).view(np.int32)
         return {"tbl": c["tbl"], "id": c["id"], "grams": [short[a:b] for a, b in zip(starts[:-1], starts[1:])]}
 
-    met = bit_filter(candidates.select("tbl", F.explode(F.array("rep_a", "rep_b")).alias("id")), ["tbl", "id"])
+    met = bit_filter(candidates.select("tbl", F.explode(F.array("rep_a", "rep_b")).alias("id")), ["tbl", "id"], 2 * candidates.count())
     sets = map_columns(met(rows), kernel, "tbl string, id bigint, grams array<int>", WordHashes)
     a = sets.select("tbl", F.col("id").alias("rep_a"), F.col("grams").alias("grams_a"))
     b = sets.select("tbl", F.col("id").alias("rep_b"), F.col("grams").alias("grams_b"))

@@ -51,6 +51,6 @@ def test_metric_join_is_exact(spark, words, radius):
 def test_bit_filter_drops_no_key(spark):
     rows = spark.createDataFrame([("t", i, "x", "y") for i in range(500)], "tbl string, id long, bits string, bucket_no string")
     keys = rows.where("id % 50 = 0").select("tbl", "id")
-    kept = {r.id for r in bit_filter(keys, ["tbl", "id"])(rows).collect()}
+    kept = {r.id for r in bit_filter(keys, ["tbl", "id"], 10)(rows).collect()}
     assert {i for i in range(500) if i % 50 == 0} <= kept and len(kept) < 50
-    assert bit_filter(keys.where("false"), ["tbl", "id"])(rows).count() == 0
+    assert bit_filter(keys.where("false"), ["tbl", "id"], 0)(rows).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-MODULES = ("audits", "calendars", "repairs", "retrieval", "texts", "answers", "pages")
+MODULES = ("audits", "calendars", "repairs", "retrieval", "texts", "answers", "pages", "serving", "files")
 _FOUND: dict[str, tuple[Callable, str | None]] = {}
 
 

@@ -22,6 +22,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/inkwell-{uuid.uuid4().hex}"
+    _forget_at_exit(spark, path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df``, written once as Parquet to the shared folder and read back: its lineage is cut, a lost executor loses nothing.
 
@@ -29,9 +36,8 @@ def materialise(df: DataFrame) -> DataFrame:
     deleted when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/inkwell-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    _forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

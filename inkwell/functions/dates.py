@@ -97,3 +97,15 @@ def day_ordinal(text: Column) -> Column:
 def date_slug(day: Column) -> Column:
     """MM-dd-yy."""
     return F.date_format(day, "MM-dd-yy")
+
+
+def typed(doc_type: Column, values: dict[str, str]) -> Column:
+    """The value that a table of constants gives a document type (dates, speakers); null for other types."""
+    pairs = [F.lit(x) for kv in values.items() for x in kv]
+    return F.element_at(F.create_map(*pairs), doc_type) if pairs else F.lit(None).cast("string")
+
+
+def file_speaker(stem: Column, known: list[str]) -> Column:
+    """The last word of a file name, in capitals, if it is a known speaker's name."""
+    last = F.upper(F.regexp_extract(stem, r"([A-Za-z]+)$", 1))
+    return F.when(last.isin(*[k.upper() for k in known]), last)

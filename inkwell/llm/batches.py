@@ -9,6 +9,6 @@ from inkwell.operators.arrow import map_columns
 __all__ = ["map_columns", "tokenizer_path"]
 
 
-def tokenizer_path(name: str) -> str:
-    """Where the vocabulary file ``name`` of the public tokenizers lies."""
-    return str(Path("/opt/tokenizers") / name)
+def tokenizer_path(name: str, folder: str = "/opt/tokenizers") -> str:
+    """Where the vocabulary file ``name`` of the public tokenizers lies, alike on the driver and the executors."""
+    return str(Path(folder) / name)

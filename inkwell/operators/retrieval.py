@@ -6,6 +6,8 @@ row; repeated ids count as they come. Query and document blocks bound what a tas
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,11 +25,19 @@ SPARSE_BLOCK = 4000
 SELDOM = 400
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def normalised(v: Column) -> Column:
     """A vector of unit length, in doubles; a null or zero vector gives null."""
-    d = F.transform(v, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(d, lambda x: x / norm))
+
+    def unit(d: Column) -> Column:
+        norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda a, x: a + x * x))
+        return _bound(norm, lambda n: F.when(n > 0, F.transform(d, lambda x: x / n)))
+
+    return _bound(F.transform(v, lambda x: x.cast("double")), unit)
 
 
 def dot(a: Column, b: Column) -> Column:

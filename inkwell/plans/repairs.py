@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from inkwell.functions import dates, text
 from inkwell.operators import audit as A
 from inkwell.operators import repair as P
 from inkwell.plans.registry import query
@@ -118,3 +119,132 @@ def page_unions(spark, sf):
     return table(spark, sf, "session_documents").select(
         "session_id", pages.alias("pages"), F.array_min("page_numbers").cast("bigint").alias("low"), F.array_max("page_numbers").cast("bigint").alias("high")
     )
+
+
+def _rewritten(spark, sf):
+    c, docs = table(spark, sf, "chunks"), table(spark, sf, "flat_documents")
+    dated = docs.groupBy(F.col("url").alias("source_url")).agg(F.min(F.substring("scrape_timestamp", 1, 10)).alias("new_date"))
+    return P.rewritten(c.join(dated, "source_url", "left"), _actions(spark, sf), docs, F.col("new_date"), F.lit(None).cast("string"))
+
+
+_ACTIONS = f"""{_DUPLICATES}, d as (select distinct url from flat_documents), g as (select slug, source_url, max(token_count) hi, count(*) filter (speaker is null or date_iso is null) bad from chunks group by 1,2),
+act as (select g.slug, g.source_url, case when g.slug in (select slug from dup) then 'DELETE' when d.url is null then 'KEEP' when hi > 600 then 'RECHUNK' when bad > 0 then 'PATCH' else 'OK' end action from g left join d on g.source_url=d.url)"""
+
+
+@query()
+def rewritten_chunks(spark, sf):
+    return _rewritten(spark, sf)
+
+
+@query(f"""with {_ACTIONS}, nd as (select url, min(scrape_timestamp[1:10]) d from flat_documents group by 1)
+select case when action = 'PATCH' then 'patched' else 'kept' end origin, c.chunk_id, case when action = 'PATCH' then coalesce(nd.d, c.date_iso) else c.date_iso end date_iso, count(*) n
+from chunks c join act a on a.slug=c.slug and a.source_url=c.source_url left join nd on nd.url=c.source_url where action in ('KEEP','OK','PATCH') group by 1,2,3""")
+def untouched_and_patched(spark, sf):
+    return _rewritten(spark, sf).where("origin != 'rechunked'").groupBy("origin", "chunk_id", "date_iso").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""with {_ACTIONS}, k as (select slug, source_url from act where action <> 'DELETE')
+select (select count(distinct source_url) from chunks) urls_before, (select count(distinct source_url) from k) urls_after,
+(select count(distinct source_url) from act where action='DELETE') deleted_urls, (select count(distinct source_url) from act where action='KEEP') orphan_urls""")
+def repair_delta(spark, sf):
+    a = _actions(spark, sf)
+    return a.agg(
+        F.count_distinct("url").alias("urls_before"), F.count_distinct(F.when(F.col("action") != "DELETE", F.col("url"))).alias("urls_after"),
+        F.count_distinct(F.when(F.col("action") == "DELETE", F.col("url"))).alias("deleted_urls"), F.count_distinct(F.when(F.col("action") == "KEEP", F.col("url"))).alias("orphan_urls"),
+    )
+
+
+# What is to be done with documents of a type, and the day of a type that names none.
+_TODO = {"order": "keep", "affidavit": "check date", "report": "check date", "letter": "none", "minutes": "keep"}
+
+
+@query("""with t(doc_type, todo) as (values ('order','keep'),('affidavit','check date'),('report','check date'),('letter','none'),('minutes','keep'))
+select f.doc_type, t.todo, count(*) n from flat_documents f left join t using (doc_type) group by 1,2""")
+def type_actions(spark, sf):
+    f = table(spark, sf, "flat_documents")
+    return f.groupBy("doc_type", dates.typed(F.col("doc_type"), _TODO).alias("todo")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""with t(doc_type, day) as (select doc_type, case when doc_type = (select min(doc_type) from flat_documents) then '1951-01-01' end from (select distinct doc_type from flat_documents)),
+x as (select flat_id, doc_type, try_strptime(nullif(regexp_extract(left(full_text,2000),'\\b(\\d{1,2} (January|February|March|April|May|June|July|August|September|October|November|December) \\d{4})\\b',1),''),'%-d %B %Y')::date txt from flat_documents)
+select flat_id, coalesce(t.day, txt::varchar) AS "day", case when t.day is not null then 'doc_type' when txt is not null then 'text' else 'none' end source from x join t using (doc_type)""")
+def cascade_dates(spark, sf):
+    f = table(spark, sf, "flat_documents")
+    first = f.agg(F.min("doc_type")).first()[0]
+    by_type = F.to_date(dates.typed(F.col("doc_type"), {first: "1951-01-01"} if first else {}))
+    day, source = dates.inferred_date(text.slug_of(F.col("url")), by_type, F.col("full_text"))
+    return f.select("flat_id", day.cast("string").alias("day"), source.alias("source"))
+
+
+@query("""select flat_id, case when upper(regexp_extract(replace(split_part(rtrim(url,'/'),'/',-1),'.asp',''),'([A-Za-z]+)$',1)) in ('DAYBOOK','REPORT','MORRIMOTT') then
+upper(regexp_extract(replace(split_part(rtrim(url,'/'),'/',-1),'.asp',''),'([A-Za-z]+)$',1)) end speaker from flat_documents""")
+def file_speakers(spark, sf):
+    s = dates.file_speaker(text.slug_of(F.col("url")), ["Daybook", "Report", "Morrimott"])
+    return table(spark, sf, "flat_documents").select("flat_id", s.alias("speaker"))
+
+
+@query("""select flat_id, case when list_contains(validation_flags,'REDIRECT_STUB') then 'stub' when coalesce(word_count,0)=0 then 'no words' when page_numbers is null or len(page_numbers)=0 then 'no pages' else 'kept' end reason from flat_documents""")
+def skip_labels(spark, sf):
+    reason = F.when(F.array_contains("validation_flags", "REDIRECT_STUB"), "stub").when(F.coalesce("word_count", F.lit(0)) == 0, "no words").when(F.coalesce(F.size("page_numbers"), F.lit(0)) <= 0, "no pages")
+    return table(spark, sf, "flat_documents").select("flat_id", F.coalesce(reason, F.lit("kept")).alias("reason"))
+
+
+@query("""select collection, case when status='ok' then 'parse' when status in ('http_404','404') then 'missing' else 'retry' end route, case when regexp_matches(url,'/\\d{2}-\\d{2}-\\d{2}[^/]*$') then 'transcript' else 'flat' end parser,
+count(*) n from crawl_log group by 1,2,3""")
+def crawl_routes(spark, sf):
+    route = F.when(F.col("status") == "ok", "parse").when(F.col("status").isin("http_404", "404"), "missing").otherwise("retry")
+    parser = F.when(F.col("url").rlike(r"/\d{2}-\d{2}-\d{2}[^/]*$"), "transcript").otherwise("flat")
+    return table(spark, sf, "crawl_log").groupBy("collection", route.alias("route"), parser.alias("parser")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""with t as (select session_id, coalesce(nullif(date_iso,''), substr(scrape_timestamp,1,10)) d, speakers, word_count, page_start, page_end from session_documents),
+w as (select distinct d from t where substr(d,9,2) in ('05','06','07')), s as (select d, unnest(speakers) sp, session_id, generate_subscripts(speakers,1) k from t),
+f as (select d, sp, min(lpad(session_id::varchar,20,'0')||lpad(k::varchar,6,'0')) o from s group by 1,2)
+select t.d AS day, count(*) records, min(page_start)::bigint low, max(page_end)::bigint high, sum(word_count)::bigint words,
+coalesce((select string_agg(sp, ';' order by o) from (select sp, o from f where f.d=t.d order by o limit 3)),'') first_speakers from t where t.d in (select d from w) group by 1""")
+def days_records(spark, sf):
+    s = table(spark, sf, "session_documents").withColumn("day", F.coalesce(F.when(F.col("date_iso") != "", F.col("date_iso")), F.substring("scrape_timestamp", 1, 10)))
+    s = s.where(F.substring("day", 9, 2).isin("05", "06", "07"))
+    by = s.groupBy("day").agg(
+        F.count(F.lit(1)).alias("records"), F.min("page_start").cast("bigint").alias("low"), F.max("page_end").cast("bigint").alias("high"), F.sum("word_count").cast("bigint").alias("words")
+    )
+    # first appearance of each speaker of a day, then the first three: aggregates, not a gathered list
+    seen = s.select("day", "session_id", F.posexplode("speakers").alias("k", "sp")).groupBy("day", "sp").agg(F.min(F.struct("session_id", "k")).alias("o"))
+    first = A.first_rows(seen, ["day"], ["o"], 3).groupBy("day").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "sp"))), lambda x: x["sp"]), ";").alias("first_speakers"))
+    return by.join(first, "day", "left").withColumn("first_speakers", F.coalesce("first_speakers", F.lit("")))
+
+
+@query("""with m as (select url, min(flat_id) pos from flat_documents group by 1) select url, pos from m""")
+def menu_union(spark, sf):
+    f = table(spark, sf, "flat_documents").select("url", F.col("flat_id").alias("pos"))
+    return f.groupBy("url").agg(F.min("pos").alias("pos"))
+
+
+@query("""select 'old' part, count(*) n from embeddings where vec_id % 2 = 0 union all select 'all', count(*) from embeddings""")
+def vector_union(spark, sf):
+    v = table(spark, sf, "embeddings").select("vec_id")
+    old, new = v.where("vec_id % 2 = 0"), v.where("vec_id % 2 != 0")
+    part = lambda df, name: df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"))
+    return part(old, "old").unionByName(part(old.unionByName(P.not_done(new, old, "vec_id")), "all"))
+
+
+@query("""with h as (select slug, chunk_row, source_url from chunks), a as (select distinct replace(split_part(rtrim(url,'/'),'/',-1),'.asp','') slug, 1 audited from flat_documents)
+select coalesce(audited,0)::bigint audited, count(*) chunks, count(distinct h.slug) slugs from h left join a using (slug) group by 1""")
+def audited_chunks(spark, sf):
+    a = table(spark, sf, "flat_documents").select(text.slug_of(F.col("url")).alias("slug"), F.lit(1).alias("audited")).distinct()
+    c = table(spark, sf, "chunks").select("slug").join(a, "slug", "left")
+    return c.groupBy(F.coalesce("audited", F.lit(0)).cast("bigint").alias("audited")).agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("slug").alias("slugs"))
+
+
+@query("""select collection, count(*) n from chunks where collection in ('secondary','vol1') group by 1""")
+def chosen_collections(spark, sf):
+    return table(spark, sf, "chunks").where(F.col("collection").isin("secondary", "vol1")).groupBy("collection").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select count(*) filter (url is null) url, count(*) filter (title is null) title, count(*) filter (word_count is null) word_count, count(*) filter (content_hash is null) content_hash, count(*) n from flat_documents""")
+def missing_keys(spark, sf):
+    # which keys a document lacks is told from its JSON, as a key that is null is left out there
+    keys = F.json_object_keys(F.to_json(F.struct("flat_id", "url", "title", "word_count", "content_hash")))
+    d = table(spark, sf, "flat_documents").select(keys.alias("k"))
+    lacks = lambda k: F.count_if(~F.array_contains("k", k)).alias(k)
+    return d.agg(lacks("url"), lacks("title"), lacks("word_count"), lacks("content_hash"), F.count(F.lit(1)).alias("n"))

@@ -12,9 +12,9 @@ from inkwell.sources.tables import table
 _TOKENS = """tk as (select chunk_row id, unnest(regexp_extract_all(lower(body), '\\p{L}+')) token from chunks),
 tf as (select token, id, count(*) w from tk group by 1,2),
 hx as (select id, (('0x'||md5(token)[1:8])::bigint) h, w from tf),
-pt as (select id, h % 64 at, sum(case when (h // 64) % 2 = 0 then w else -w end)::double x from hx group by 1,2),
+pt as (select id, h % 64 pos, sum(case when (h // 64) % 2 = 0 then w else -w end)::double x from hx group by 1,2),
 nm as (select id, sqrt(sum(x*x)) n from pt group by 1 having sum(x*x) > 0)"""
-_TOP = f"""{_TOKENS}, dq as (select a.id qid, b.id did, round(sum(a.x*b.x)/(na.n*nb.n),6) score from pt a join pt b using (at) join nm na on na.id=a.id join nm nb on nb.id=b.id where a.id % 20 = 0 group by a.id, b.id, na.n, nb.n),
+_TOP = f"""{_TOKENS}, dq as (select a.id qid, b.id did, round(sum(a.x*b.x)/(na.n*nb.n),6) score from pt a join pt b using (pos) join nm na on na.id=a.id join nm nb on nb.id=b.id where a.id % 20 = 0 group by a.id, b.id, na.n, nb.n),
 dall as (select q.id qid, d.id did, coalesce(dq.score,0) score from nm q join nm d on q.id % 20 = 0 left join dq on dq.qid=q.id and dq.did=d.id),
 dense as (select *, row_number() over (partition by qid order by score desc, did) rk from dall qualify rk <= 100),
 sq as (select q.id qid, d.id did, sum(q.w*d.w)::bigint score from tf q join tf d using(token) where q.id % 20 = 0 group by 1,2),
@@ -58,11 +58,11 @@ def answered_questions(spark, sf):
     return V.answered(_asked(spark, sf), _results(spark, sf, V.OverlapReranker()), V.QuotingGenerator())
 
 
-@query(f"""with {_TOKENS} select id, "at", round(x/n,6) x from pt join nm using (id) where x <> 0""")
+@query(f"""with {_TOKENS} select id, pos, round(x/n,6) x from pt join nm using (id) where x <> 0""")
 def encoded_passages(spark, sf):
     texts = table(spark, sf, "chunks").select(F.col("chunk_row").alias("id"), F.col("body").alias("text"))
-    v = V.HashEncoder().vectors(texts).select("id", F.posexplode("vec").alias("at", "x"))
-    return v.where("x != 0").select("id", F.col("at").cast("bigint").alias("at"), F.round("x", 6).alias("x"))
+    v = V.HashEncoder().vectors(texts).select("id", F.posexplode("vec").alias("pos", "x"))
+    return v.where("x != 0").select("id", F.col("pos").cast("bigint").alias("pos"), F.round("x", 6).alias("x"))
 
 
 @query("""select chunk_row, '#'||(chunk_index+1)||' ['||collection||'] '||coalesce(nullif(date_iso,''),'no date')||' '||coalesce(nullif(speaker,''),'-')||': '||

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 CORRUPT = "_corrupt_record"
+#: How times stand in CSV logs: to the microsecond.
+TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 #: Columns of the crawl log as CSV.
 CRAWL_LOG = (
     "log_id bigint, url string, collection string, date_iso string, status string, char_count int, turn_count int, speaker_count int, "
-    "page_format string, validation_flags string, scrape_timestamp string, logged_at timestamp"
+    "page_format string, validation_flags string, scrape_timestamp string, logged_at timestamp_ntz"
 )
 
 
@@ -25,11 +27,12 @@ def _with_corrupt(schema: StructType) -> StructType:
 
 def read_json_folder(spark: SparkSession, folder: str, schema: StructType, recursive: bool = False) -> DataFrame:
     """One document a file: the columns of ``schema``, then file, parent (its folder) and bad (it is no JSON of that form)."""
-    df = spark.read.schema(_with_corrupt(schema)).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", recursive).json(folder)
+    parsed = F.from_json("value", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     path = F.col("_metadata.file_path")
-    return df.select(
-        *schema.names, F.element_at(F.split(path, "/"), -1).alias("file"), F.element_at(F.split(path, "/"), -2).alias("parent"), F.col(CORRUPT).isNotNull().alias("bad")
-    )
+    files = spark.read.option("recursiveFileLookup", recursive).text(folder, wholetext=True)
+    read = files.select(parsed.alias("d"), F.element_at(F.split(path, "/"), -1).alias("file"), F.element_at(F.split(path, "/"), -2).alias("parent"))
+    bad = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
+    return read.select(*[F.col(f"d.{n}").alias(n) for n in schema.names], "file", "parent", bad.alias("bad"))
 
 
 def documents_in(spark: SparkSession, folder: str, schema: StructType, parent: str | None = None) -> DataFrame:
@@ -72,7 +75,7 @@ def with_ordinals(lines: DataFrame) -> DataFrame:
 
 def read_crawl_log(spark: SparkSession, path: str, schema: str = CRAWL_LOG) -> DataFrame:
     """The crawl log as CSV with a header; unreadable values are null."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("timestampFormat", TIMES).option("timestampNTZFormat", TIMES).csv(path)
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:

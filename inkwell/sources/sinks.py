@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators.retrieval import normalised
-from inkwell.sources.files import exists
+from inkwell.sources.files import TIMES, exists
 
 
 def write_documents(documents: DataFrame, folder: str, form: str = "json", by: str = "collection") -> None:
@@ -24,7 +24,7 @@ def write_documents(documents: DataFrame, folder: str, form: str = "json", by: s
 
 def append_log(rows: DataFrame, folder: str) -> None:
     """Rows added to a CSV log; every file has the header."""
-    rows.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    rows.write.mode("append").option("header", True).option("escape", '"').option("timestampFormat", TIMES).option("timestampNTZFormat", TIMES).csv(folder)
 
 
 def write_failures(log: DataFrame, folder: str) -> None:

@@ -51,3 +51,12 @@ def test_cross_check(spark):
     targets = spark.createDataFrame([(d(a), b and d(b)) for a, b in rows], "d date, target date")
     got = {(str(r.d), str(r.target)): r.verdict for r in C.cross_check(targets, held, days(spark, "1946-02-02")).collect()}
     assert [got[a, str(b)] for a, b in rows] == ["OK", "SKIPPED", "OK", "OPEN", "MISSING"]
+
+
+def test_hot_groups_are_numbered_in_stretches(spark):
+    from inkwell.operators import audit
+
+    rows = [("a", i * 3) for i in range(200)] + [("b", 7), (None, 5), (None, 9)]
+    got = audit.numbered(spark.createDataFrame(rows, "g string, place long").withColumnRenamed("place", "at"), ["g"], "at", width=50).collect()
+    assert sorted((r.at, r.place, r.group_rows) for r in got if r.g == "a") == [(3 * i, i, 200) for i in range(200)]
+    assert sorted((r.at, r.place, r.group_rows) for r in got if r.g is None) == [(5, 0, 2), (9, 1, 2)]

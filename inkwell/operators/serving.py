@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from inkwell.operators import answers as W
 from inkwell.operators import retrieval as R
 from inkwell.operators.arrow import map_columns
+from inkwell.sources.shared import materialise
 from inkwell.sources.sinks import write_index
 
 DENSE_N = SPARSE_N = 100
@@ -144,6 +145,8 @@ def retrieve(questions: DataFrame, index: Index, encoder: Encoder, reranker: Rer
     else:
         found = R.fused(dense, R.sparse_topk(encoder.weights(asked), index.sparse, SPARSE_N), RERANKED)
     if reranker is not None:
+        # used three times below, so written once
+        found = materialise(found)
         # texts of the candidates only
         texts = index.metadata.select("id", F.col("body").alias("text")).join(found.select(F.col("did").alias("id")).distinct(), "id", "left_semi")
         order = reranker.rerank(found.select("qid", "did", "rk"), asked, texts, top_k)

@@ -21,8 +21,8 @@ from inkwell.llm.words import WORD, WordHashes, hashed_words, windows, words
 
 WORDS_IN_A_ROW = 12
 #: Least and most bits (powers of two) of the table of hashes, and bits an n-gram between these: at most 16 MB are sent.
-#: Beyond eight million n-grams more hits are false ones, which the join then drops.
-LEAST_BITS, MOST_BITS, BITS_A_GRAM = 15, 27, 16
+#: One n-gram in some thousands is a false hit, which the join drops, up to 30 000 of the items; one in 16 at 8 million.
+LEAST_BITS, MOST_BITS, BITS_A_GRAM = 15, 27, 4096
 
 
 def _item_grams(items: DataFrame, n: int) -> DataFrame:

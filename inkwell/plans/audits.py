@@ -297,3 +297,19 @@ def order_revenue(spark, sf):
     return j.groupBy("o_orderpriority", "l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.round(F.avg("l_quantity"), 6).alias("qty")
     )
+
+
+@query("""with p as (select slug, min(page_number) low, max(page_number) high from chunks where page_number is not null group by 1)
+select slug, case when high>30000 then 'HIGH_PAGE' when high-low>2000 then 'WIDE_V1' else 'WIDE_V2' end anomaly from p where high>30000 or high-low>2""")
+def slug_page_spans(spark, sf):
+    p = table(spark, sf, "chunks").where("page_number is not null").groupBy("slug").agg(F.min("page_number").alias("low"), F.max("page_number").alias("high"))
+    kind = F.when(F.col("high") > 30000, "HIGH_PAGE").when(F.col("high") - F.col("low") > 2000, "WIDE_V1").when(F.col("high") - F.col("low") > 2, "WIDE_V2")
+    return p.select("slug", kind.alias("anomaly")).where("anomaly is not null")
+
+
+@query("""select upper(regexp_extract(speaker,'^([A-Za-z]+\\.?)',1)) first_word, count(*) n from chunks
+where regexp_full_match(upper(regexp_extract(speaker,'^([A-Za-z]+\\.?)',1)),'(MR|MRS|DR|COLONEL|GENERAL|MAJOR|PROFESSOR|MISS|MADAME)\\.?') group by 1""")
+def titles_first(spark, sf):
+    first = F.upper(F.regexp_extract("speaker", r"^([A-Za-z]+\.?)", 1))
+    only = first.rlike(r"^(MR|MRS|DR|COLONEL|GENERAL|MAJOR|PROFESSOR|MISS|MADAME)\.?$")
+    return table(spark, sf, "chunks").where(only).groupBy(first.alias("first_word")).agg(F.count(F.lit(1)).alias("n"))

@@ -151,3 +151,23 @@ def order_calendar(spark, sf):
 
 def _text(df):
     return df.select(F.col("first_day").cast("string").alias("first_day"), F.col("last_day").cast("string").alias("last_day"), "n")
+
+
+_FILED = "d as (select distinct cast(filed_on as date) d from documents where filed_on is not null), "
+
+
+def _filed(spark, sf):
+    return C.days_of(table(spark, sf, "documents"), F.col("filed_on"))
+
+
+@query(f"with {_FILED} {_CAL} {_miss(4)}, {_island_sql('m', 3, 3)}")
+def filing_islands(spark, sf):
+    return _text(C.islands(C.missing_days(_filed(spark, sf)), gap=3, least=3))
+
+
+@query(f"""with {_FILED} {_CAL} {_miss(5)}, k as (select d, row_number() over (order by d) k from cal where isodow(d)<=6),
+g as (select k.d, k.k - row_number() over (order by k.d) g from k join m on k.d=m.d)
+select min(d)::varchar first_day, max(d)::varchar last_day, count(*) n from g group by g having count(*)>=3""")
+def filing_workday_islands(spark, sf):
+    days = _filed(spark, sf)
+    return _text(C.workday_islands(days, C.missing_days(days, 5), 5, 3))

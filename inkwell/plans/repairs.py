@@ -248,3 +248,12 @@ def missing_keys(spark, sf):
     d = table(spark, sf, "flat_documents").select(keys.alias("k"))
     lacks = lambda k: F.count_if(~F.array_contains("k", k)).alias(k)
     return d.agg(lacks("url"), lacks("title"), lacks("word_count"), lacks("content_hash"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""with t as (select min(logged_at) + (max(logged_at) - min(logged_at)) / 2 mid from crawl_log)
+select distinct url from crawl_log where url not in (select url from crawl_log, t where status='ok' and logged_at < mid)""")
+def crawl_todo_halfway(spark, sf):
+    log = table(spark, sf, "crawl_log")
+    mid = log.agg((F.min("logged_at") + (F.max("logged_at") - F.min("logged_at")) / 2).alias("mid"))
+    done = log.where("status = 'ok'").join(mid, F.col("logged_at") < F.col("mid"))  # one row
+    return P.not_done(log.select("url"), done, "url").distinct()

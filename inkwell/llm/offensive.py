@@ -362,7 +362,8 @@ class Model:
         reached = np.cumsum(evidence[most])
         q = max(4 * p, (b / np.maximum(n, 1))[most[np.searchsorted(reached, 0.75 * reached[-1])]]) if len(most) else 4 * p
         b, n = np.maximum(b - 1, 0), np.maximum(n - 1, 0)
-        evidence = np.where(b >= PURE * q * np.maximum(n, 1), ratio(b, n), 0.0)
+        # once elsewhere is chance: a term counts from its second other offensive document
+        evidence = np.where((b >= 2) & (b >= PURE * q * np.maximum(n, 1)), ratio(b, n), 0.0)
         evidence[self.vocabulary.n_words :] *= 0.5
         pair = np.unique(self.owner * len(df) + self.terms)
         return np.bincount(pair // len(df), evidence[pair % len(df)], len(self.sentences)) >= TELLING

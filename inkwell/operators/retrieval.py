@@ -6,19 +6,24 @@ row; repeated ids count as they come. Query and document blocks bound what a tas
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegralType, _parse_datatype_string
 
+from inkwell.sources.shared import materialise
+
 RRF_K = 60
-#: Vectors a block; a task scores one block of queries against one of vectors.
-BLOCK = 2000
+#: Vectors a block of queries at most; a block of what they meet has twice as many.
+BLOCK = 4096
+#: So many queries, or fewer, are one block if that may hold them.
+FEW = 1024
 #: Texts a block of sparse search; a block of queries has an eighth as many.
 SPARSE_BLOCK = 4000
 #: A token is multiplied by matrix if it meets in one of so many pairs of texts at least.
@@ -46,37 +51,168 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
 
 
-def _blocks(df: DataFrame, n: int, name: str) -> DataFrame:
-    """Rows of ``df(id, vec)`` packed into ``n`` blocks by hash."""
-    packed = F.collect_list(F.struct("id", "vec"))
-    return df.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias(f"{name}_no")).agg(packed.alias(name))
+class _Best:
+    """The best ``k`` of what was offered to each of ``n`` queries, by score, then by the smaller id."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.most, self.new = k, max(n * k, 50_000), 0
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        #: Scores below it are of no use to a query.
+        self.least = np.full(n, -np.inf)
+
+    def offer(self, at: np.ndarray, did: np.ndarray, score: np.ndarray) -> None:
+        self.parts.append((at, did, score))
+        self.new += len(at)
+        if self.new > self.most:
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.new:
+            return
+        at, did, score = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((did, np.where(np.isnan(score), -np.inf, -score), at))
+        at = at[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        order, at, place = (x[place < self.k] for x in (order, at, place))
+        self.parts, self.new = [(at, did[order], score[order])], 0
+        full = place == self.k - 1
+        self.least[at[full]] = np.nan_to_num(score[order][full], nan=np.inf, posinf=np.inf, neginf=-np.inf)
+
+
+def _gathered(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """A task's rows in tables of ``most`` rows, the last one smaller."""
+    held, rows = [], 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            held.append(batch.slice(at, most - rows))
+            rows, at = rows + held[-1].num_rows, at + held[-1].num_rows
+            if rows == most:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _packed(df: DataFrame, most: int, pack: Callable[[pa.Table], list[bytes]], names: str, side: str) -> DataFrame:
+    """Rows packed, as they lie, into blocks of ``most`` at most: a number and a column of bytes for each of ``names``."""
+    at = [f"{side}_{x}" for x in names.split()]
+
+    def run(batches):
+        for n, t in enumerate(_gathered(batches, most)):
+            no = pa.array([TaskContext.get().partitionId() << 32 | n])
+            yield pa.RecordBatch.from_arrays([no, *(pa.array([x], pa.binary()) for x in pack(t))], names=[f"{side}_no", *at])
+
+    return df.mapInArrow(run, ", ".join([f"{side}_no bigint", *(f"{x} binary" for x in at)]))
+
+
+def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack: Callable, names: str, start: Callable, score: str) -> DataFrame:
+    """Every block of queries with every block of docs: qid, did, score.
+
+    A task holds one block of queries and sees the docs block by block, so that its least useful score grows over all it has
+    seen. ``start`` makes of a query block's bytes what meets the docs' bytes (``meet``) and tells its best at the end
+    (``result``). Many queries: as many blocks as keep all cores busy, and docs packed once; few: one, and docs in stripes.
+    """
+    queries = materialise(queries)
+    cores, n = queries.sparkSession.sparkContext.defaultParallelism, queries.select("id").distinct().count()
+    blocks = max(1, -(-n // block))
+    if n > FEW:
+        blocks = -(-max(blocks, 2 * cores) // cores) * cores
+    asked = materialise(_packed(queries.repartition(blocks, "id"), block, pack, names, "q"))
+    there = max(1, asked.count())
+    texts = _packed(docs, doc_block, pack, names, "d")
+    if there > 1:
+        texts = materialise(texts).coalesce(-(-2 * cores // there))
+    pairs = texts.crossJoin(asked.coalesce(1).repartition(there).hint("shuffle_replicate_nl"))
+
+    def run(batches):
+        known = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                take = lambda side: [batch.column(f"{side}_{x}")[row].as_buffer() for x in names.split()]  # noqa: E731, B023
+                no = batch.column("q_no")[row].as_py()
+                if no not in known:
+                    known[no] = start(*(x.to_pybytes() for x in take("q")))
+                known[no].meet(*take("d"))
+        for x in known.values():
+            at = x.result()
+            for lo in range(0, len(at[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in at], names=["qid", "did", "score"])
+
+    return pairs.mapInArrow(run, f"qid bigint, did bigint, score {score}")
+
+
+def _pack_vectors(t: pa.Table) -> list[bytes]:
+    vec = t.column("vec").combine_chunks()
+    dims = pc.unique(pc.list_value_length(vec)).to_pylist()
+    if len(dims) > 1:
+        raise ValueError(f"vectors of {sorted(dims)} dimensions")
+    return [t.column("id").to_numpy().tobytes(), vec.flatten().to_numpy(zero_copy_only=False).astype(float).tobytes()]
+
+
+def _vectors(ids, vecs) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, np.int64)
+    return ids, np.frombuffer(vecs, float).reshape(len(ids), len(vecs) // 8 // len(ids))
+
+
+class _DenseBlock:
+    """A block of query vectors that meets blocks of vectors: scored in single precision, what may be good again in double."""
+
+    def __init__(self, ids: bytes, vecs: bytes, k: int):
+        self.id, self.v = _vectors(ids, vecs)
+        self.single, self.norm = self._single(self.v)
+        self.best = _Best(len(self.id), k)
+
+    @staticmethod
+    def _single(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(all="ignore"):
+            return v.astype(np.float32), np.sqrt(np.einsum("ij,ij->i", v, v))
+
+    def meet(self, ids, vecs) -> None:
+        did, v = _vectors(ids, vecs)
+        if self.v.shape[1] != v.shape[1]:
+            raise ValueError(f"vectors of {self.v.shape[1]} and {v.shape[1]} dimensions")
+        single, norm = self._single(v)
+        with np.errstate(all="ignore"):
+            for lo in range(0, len(v), 4096):
+                some = slice(lo, lo + 4096)
+                # what single precision can be off by, and half a unit of the last of 6 digits
+                off = (v.shape[1] + 4) * 1.2e-7 * self.norm * norm[some].max() + 1e-6
+                for at in range(0, len(self.v), 256):
+                    self._tile(slice(at, at + 256), did[some], v[some], single[some], off[at : at + 256])
+                if not np.isfinite(self.best.least).all():
+                    self.best.settle()
+
+    def _tile(self, at: slice, did: np.ndarray, v: np.ndarray, single: np.ndarray, off: np.ndarray) -> None:
+        s, k = self.single[at] @ single.T, self.best.k
+        least = self.best.least[at]
+        low = np.where(np.isfinite(least), least - off - 1.2e-7 * np.abs(least), -np.inf)
+        if s.shape[1] > k and np.isinf(low).any():
+            low = np.fmax(low, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - 2 * off)
+        low = np.nan_to_num(low, nan=-np.inf, posinf=np.inf, neginf=-np.inf).astype(np.float32)[:, None]
+        rows = np.flatnonzero(~(s.max(axis=1, keepdims=True) < low))
+        x, y = np.nonzero(~(s[rows] < low[rows]))
+        x = rows[x] + at.start
+        for lo in range(0, len(x), 65536):
+            p, r = x[lo : lo + 65536], y[lo : lo + 65536]
+            exact = np.round(np.einsum("ij,ij->i", self.v[p], v[r]), 6) + 0.0
+            good = ~(exact < self.best.least[p])
+            self.best.offer(p[good], did[r[good]], exact[good])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.best.settle()
+        at, did, score = self.best.parts[0] if self.best.parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        return self.id[at], did, score
 
 
 def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """The ``k`` vectors of largest inner product for each query, of tables (id, vec): qid, did, score (6 digits), rk.
 
-    Blocks of queries meet blocks of vectors and each meeting gives its best ``k`` a query only; the pairs of block numbers
-    are a small table made by the block counts.
+    Blocks of queries meet blocks of vectors as bytes, and a task keeps ``k`` a query; no vector becomes Python objects.
     """
-    queries, vectors = queries.where("vec is not null"), vectors.where("vec is not null")
-    nq, nv = (max(1, -(-df.count() // block)) for df in (queries, vectors))
-    pairs = queries.sparkSession.range(nq * nv).select(F.expr(f"id div {nv}").alias("q_no"), F.expr(f"id % {nv}").alias("v_no"))
-    met = pairs.join(_blocks(queries, nq, "q"), "q_no").join(_blocks(vectors, nv, "v"), "v_no").select("q", "v")
-
-    def score(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                q, v = np.array([x["vec"] for x in row["q"]], float), np.array([x["vec"] for x in row["v"]], float)
-                qid, did = np.array([x["id"] for x in row["q"]]), np.array([x["id"] for x in row["v"]])
-                s = np.round(q @ v.T, 6) + 0.0
-                best = np.lexsort((np.broadcast_to(did, s.shape), -s), axis=1)[:, :k]
-                flat = best.ravel()
-                at = np.repeat(np.arange(len(qid)), best.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(qid[at]), pa.array(did[flat]), pa.array(s[at, flat])], names=["qid", "did", "score"]
-                )
-
-    return ranked(met.mapInArrow(score, "qid bigint, did bigint, score double"), k)
+    rows = lambda df: df.where("vec is not null and id is not null").select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    start = lambda ids, vecs: _DenseBlock(ids, vecs, k)
+    return ranked(_met(rows(queries), rows(vectors), block, 2 * block, _pack_vectors, "ids vecs", start, "double"), k)
 
 
 def ranked(scored: DataFrame, k: int) -> DataFrame:

@@ -30,6 +30,20 @@ def test_dense_equals_brute_force_in_blocks(spark):
     assert R.dense_topk(df.where("id < 0"), df, 4).count() == 0
 
 
+def test_dense_of_many_queries_keeps_vectors_as_bytes(spark):
+    v = np.random.default_rng(2).integers(-2, 3, size=(2600, 6)) / 3  # many ties
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vec array<double>")
+    found = R.dense_topk(df.where("id % 2 = 0"), df, 7, block=500)
+    plan = found._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "CartesianProduct" in plan  # no block is gathered or joined as rows of a heap
+    got = {(r.qid, r.rk): (r.did, r.score) for r in found.collect()}
+    s = np.round(v @ v.T, 6)
+    for q in range(0, 2600, 2):
+        best = np.lexsort((np.arange(2600), -s[q]))[:7]
+        assert [got[q, k + 1] for k in range(7)] == [(d, s[q, d]) for d in best]
+    assert len(got) == 1300 * 7
+
+
 def test_sparse_drops_zero_scores(spark):
     q = spark.createDataFrame([("x", 1, 2), ("y", 1, 1)], "token string, id int, w int")
     d = spark.createDataFrame([("x", 7, 3), ("z", 8, 3)], "token string, id int, w int")

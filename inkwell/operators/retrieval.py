@@ -6,6 +6,7 @@ row; repeated ids count as they come. Query and document blocks bound what a tas
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -14,20 +15,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegralType, _parse_datatype_string
+from pyspark.sql.types import IntegralType
 
-from inkwell.sources.shared import materialise
+from inkwell.sources.shared import materialise, scratch
 
 RRF_K = 60
 #: Vectors a block of queries at most; a block of what they meet has twice as many.
 BLOCK = 4096
 #: So many queries, or fewer, are one block if that may hold them.
 FEW = 1024
-#: Texts a block of sparse search; a block of queries has an eighth as many.
-SPARSE_BLOCK = 4000
-#: A token is multiplied by matrix if it meets in one of so many pairs of texts at least.
-SELDOM = 400
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -94,36 +90,41 @@ def _gathered(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _packed(df: DataFrame, most: int, pack: Callable[[pa.Table], list[bytes]], names: str, side: str) -> DataFrame:
+def _packed(df: DataFrame, most: int, pack: Callable[[pa.Table], list[bytes]], names: str, side: str, gather: Callable) -> DataFrame:
     """Rows packed, as they lie, into blocks of ``most`` at most: a number and a column of bytes for each of ``names``."""
     at = [f"{side}_{x}" for x in names.split()]
 
     def run(batches):
-        for n, t in enumerate(_gathered(batches, most)):
+        for n, t in enumerate(gather(batches, most)):
             no = pa.array([TaskContext.get().partitionId() << 32 | n])
             yield pa.RecordBatch.from_arrays([no, *(pa.array([x], pa.binary()) for x in pack(t))], names=[f"{side}_no", *at])
 
     return df.mapInArrow(run, ", ".join([f"{side}_no bigint", *(f"{x} binary" for x in at)]))
 
 
-def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack: Callable, names: str, start: Callable, score: str) -> DataFrame:
+def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack: Callable, names: str, start: Callable, score: str, laid: Callable = lambda df: df, gather: Callable = _gathered) -> DataFrame:
     """Every block of queries with every block of docs: qid, did, score.
 
     A task holds one block of queries and sees the docs block by block, so that its least useful score grows over all it has
     seen. ``start`` makes of a query block's bytes what meets the docs' bytes (``meet``) and tells its best at the end
     (``result``). Many queries: as many blocks as keep all cores busy, and docs packed once; few: one, and docs in stripes.
+    Many blocks meet in a session of their own, which sends a pair of blocks at a time to Python, and not 64 MB of them.
     """
+    spark = queries.sparkSession
     queries = materialise(queries)
-    cores, n = queries.sparkSession.sparkContext.defaultParallelism, queries.select("id").distinct().count()
+    cores, n = spark.sparkContext.defaultParallelism, queries.select("id").distinct().count()
     blocks = max(1, -(-n // block))
     if n > FEW:
         blocks = -(-max(blocks, 2 * cores) // cores) * cores
-    asked = materialise(_packed(queries.repartition(blocks, "id"), block, pack, names, "q"))
-    there = max(1, asked.count())
-    texts = _packed(docs, doc_block, pack, names, "d")
+    asked, texts = scratch(spark), _packed(laid(docs), doc_block, pack, names, "d", gather)
+    _packed(laid(queries.repartition(blocks, "id")), block, pack, names, "q", gather).write.parquet(asked)
+    there = max(1, spark.read.parquet(asked).count())
     if there > 1:
-        texts = materialise(texts).coalesce(-(-2 * cores // there))
-    pairs = texts.crossJoin(asked.coalesce(1).repartition(there).hint("shuffle_replicate_nl"))
+        texts.write.parquet(path := scratch(spark))
+        spark = spark.newSession()
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+        texts = spark.read.schema(texts.schema).parquet(path).coalesce(-(-2 * cores // there))
+    pairs = texts.crossJoin(spark.read.parquet(asked).coalesce(1).repartition(there).hint("shuffle_replicate_nl"))
 
     def run(batches):
         known = {}
@@ -139,7 +140,11 @@ def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack:
             for lo in range(0, len(at[0]), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in at], names=["qid", "did", "score"])
 
-    return pairs.mapInArrow(run, f"qid bigint, did bigint, score {score}")
+    found = pairs.mapInArrow(run, f"qid bigint, did bigint, score {score}")
+    if there > 1:
+        found.write.parquet(path := scratch(spark))
+        found = queries.sparkSession.read.schema(found.schema).parquet(path)
+    return found
 
 
 def _pack_vectors(t: pa.Table) -> list[bytes]:
@@ -223,7 +228,8 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
 
 def token_counts(texts: DataFrame) -> DataFrame:
     """Token counts of ``texts(id, text)`` over lower-case letter runs, every token of every text: token, id, w."""
-    tokens = texts.select("id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token"))
+    # a text is shuffled rather than each of its tokens
+    tokens = texts.repartition("id").select("id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token"))
     return tokens.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
 
 
@@ -236,89 +242,142 @@ def max_pooled(weights: DataFrame) -> DataFrame:
     return pooled.groupBy("id", F.trim("token").alias("token")).agg(F.round(F.max_by("w", "token_id"), 4).alias("w"))
 
 
-def _inverted_blocks(posts: DataFrame, n: int, name: str) -> DataFrame:
-    """Postings packed into ``n`` blocks by a hash of their text: a token once in each, numbers as narrow as they allow."""
-    keyed = posts.where("token is not null and id is not null").select(F.pmod(F.xxhash64("id"), F.lit(n)).alias("no"), "token", "id", "w")
-    schema = f"{name}_no bigint, {name} struct<token:array<string>,ends:array<bigint>,ids:array<bigint>,place:binary,w:binary,kinds:string>"
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-
-    def pack(key, table):
-        ids, place = np.unique(table["id"].to_numpy(), return_inverse=True)
-        token = table["token"].combine_chunks().dictionary_encode()
-        code = token.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(code, kind="stable")
-        place, w = place[order].astype(np.min_scalar_type(len(ids))), table["w"].to_numpy()[order]
-        if w.dtype.kind == "i" and w.min() >= 0:
-            w = w.astype(np.min_scalar_type(w.max()))
-        ends = np.cumsum(np.concatenate(([0], np.bincount(code, minlength=len(token.dictionary)))))
-        block = {"token": token.dictionary.to_pylist(), "ends": ends.tolist(), "ids": ids.tolist(), "place": place.tobytes(), "w": w.tobytes(), "kinds": f"{place.dtype.str} {w.dtype.str}"}
-        return pa.Table.from_pylist([{f"{name}_no": key[0].as_py(), name: block}], schema=arrow)
-
-    return keyed.groupBy("no").applyInArrow(pack, schema)
-
-
-def _read_block(column: pa.StructArray, row: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of an inverted block: its tokens, where each one's postings begin, their texts' places, weights, and the sorted text ids."""
-    x = column[row]
-    place, w = x["kinds"].as_py().split()
-    return (
-        x["token"].values, x["ends"].values.to_numpy(), np.frombuffer(x["place"].as_buffer(), place).astype(np.int64),
-        np.frombuffer(x["w"].as_buffer(), w).astype(float), x["ids"].values.to_numpy(),
-    )
-
-
-def _met_scores(q: tuple, d: tuple) -> np.ndarray:
-    """Token products of all texts of two inverted blocks: tokens frequent in both by matrices, the others one at a time."""
-    at = pc.index_in(d[0], value_set=q[0])
-    of_d = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
-    of_q = at.drop_null().to_numpy(zero_copy_only=False)
-    s = np.zeros((len(q[4]), len(d[4])))
-    often = np.diff(q[1])[of_q] * np.diff(d[1])[of_d] * SELDOM >= s.size
-    heavy = np.flatnonzero(often)
-    for lo in range(0, len(heavy), 256):
-        some = heavy[lo : lo + 256]
-        a, b = np.zeros((len(q[4]), len(some))), np.zeros((len(some), len(d[4])))
-        for j, (x, y) in enumerate(zip(of_q[some], of_d[some])):
-            p, r = slice(q[1][x], q[1][x + 1]), slice(d[1][y], d[1][y + 1])
-            np.add.at(a[:, j], q[2][p], q[3][p])
-            np.add.at(b[j], d[2][r], d[3][r])
-        s += a @ b
-    for x, y in zip(of_q[~often], of_d[~often]):
-        p, r = slice(q[1][x], q[1][x + 1]), slice(d[1][y], d[1][y + 1])
-        np.add.at(s, (q[2][p][:, None], d[2][r]), q[3][p][:, None] * d[3][r])
-    return s
-
-
-def sparse_topk(queries: DataFrame, posts: DataFrame, k: int, block: int = SPARSE_BLOCK) -> DataFrame:
+def _by_text(posts: DataFrame) -> DataFrame:
+    """Postings in the order of their texts, ``first`` being 1 at the first of each; shuffled only if not laid out by text."""
+    first = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    return posts.where("token is not null and id is not null").select("token", F.col("id").cast("bigint").alias("id"), "w").withColumn("first", first)
+
+
+def _texts(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """A task's postings in tables of ``most`` whole texts, the last one smaller."""
+    held, n = [], 0
+    for batch in batches:
+        at, first = 0, np.flatnonzero(batch.column("first").to_numpy() == 1)
+        while n + len(first) > most:
+            held.append(batch.slice(at, first[most - n] - at))
+            yield pa.Table.from_batches(held).combine_chunks()
+            at, first, held, n = first[most - n], first[most - n :], [], 0
+        held.append(batch.slice(at))
+        n += len(first)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers not below 0 in as few bytes as they allow; others in doubles."""
+    return x.astype(np.min_scalar_type(int(x.max())) if x.dtype.kind in "iu" and len(x) and x.min() >= 0 else float)
+
+
+def _pack_texts(t: pa.Table) -> list[bytes]:
+    """Postings as texts of falling norm: their ids, norms and ends, and each posting's token and weight."""
+    start = np.flatnonzero(t.column("first").to_numpy() == 1)
+    token, w = t.column("token").combine_chunks().dictionary_encode(), t.column("w").to_numpy()
+    code, size = token.indices.to_numpy(), np.diff(np.append(start, len(w)))
+    norm = np.sqrt(np.add.reduceat(w.astype(float) ** 2, start))
+    order = np.argsort(-norm, kind="stable")
+    row = _ranges(start[order], size[order])
+    code, w = _narrow(code[row]), _narrow(w[row])
+    head = {"tokens": token.dictionary.to_pylist(), "code": code.dtype.str, "w": w.dtype.str}
+    ids = t.column("id").to_numpy()[start[order]]
+    return [ids.tobytes(), norm[order].tobytes(), np.cumsum(size[order]).tobytes(), json.dumps(head).encode(), code.tobytes(), w.tobytes()]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
+
+
+class _SparseBlock:
+    """A block of query texts that meets blocks of texts.
+
+    A pair is scored only if a bound on its score allows: first the product of the norms (texts come by falling norm), then
+    the products of the block's heaviest tokens plus, in each group of the other tokens, the product of the norms there.
+    """
+
+    HEAVY, GROUPS, TILE = 64, 32, 512
+
+    def __init__(self, *block: bytes, k: int, whole: bool):
+        self.id, self.norm, self.token, self.code, self.w, self.start, self.size = self._read(*block)
+        self.whole, self.best, self.seen = whole, _Best(len(self.id), k), 0
+        weight = np.bincount(self.code, self.w**2, len(self.token))
+        self.place = np.empty(len(weight), int)
+        self.place[np.argsort(-weight, kind="stable")] = np.arange(len(weight))
+        self.place = np.where(self.place < self.HEAVY, self.place, self.HEAVY + self.place % self.GROUPS)
+        self.short = self._short(np.repeat(np.arange(len(self.id)), self.size), self.code, self.w, len(self.id))
+        self.positive = bool((self.w >= 0).all())
+
+    @staticmethod
+    def _read(ids, norms, ends, head, code, w) -> tuple:
+        h, ends = json.loads(bytes(head)), np.frombuffer(ends, np.int64)
+        start = np.concatenate(([0], ends[:-1]))
+        return (
+            np.frombuffer(ids, np.int64), np.frombuffer(norms, float), pa.array(h["tokens"], pa.string()), np.frombuffer(code, h["code"]).astype(int),
+            np.frombuffer(w, h["w"]).astype(float), start, ends - start,
+        )
+
+    def _short(self, row: np.ndarray, code: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+        place, dims = self.place[code], self.HEAVY + self.GROUPS
+        x = np.bincount(row * dims + place, np.where(place < self.HEAVY, w, w * w), n * dims).reshape(n, dims)
+        x[:, self.HEAVY :] = np.sqrt(x[:, self.HEAVY :])
+        return x.astype(np.float32)
+
+    def meet(self, *block) -> None:
+        did, norm, token, code, w, start, size = self._read(*block)
+        to = pc.fill_null(pc.index_in(token, value_set=self.token), -1).to_numpy().astype(int)[code]
+        positive = self.positive and bool((w >= 0).all())
+        for lo in range(0, len(did), self.TILE):
+            least = self.best.least
+            rows = np.flatnonzero(~(self.norm * norm[lo] * (1 + 1e-9) < least))
+            if not len(rows):
+                break
+            hi = min(lo + self.TILE, len(did))
+            post = slice(start[lo], start[hi - 1] + size[hi - 1])
+            here = np.flatnonzero(to[post] >= 0) + post.start
+            doc = np.repeat(np.arange(hi - lo), size[lo:hi])[here - post.start]
+            code_here, w_here = to[here], w[here]
+            n = np.bincount(doc, minlength=hi - lo)
+            at = np.cumsum(n) - n
+            bound = self.short[rows] @ self._short(doc, code_here, w_here, hi - lo).T
+            # what single precision can be off by
+            off = (self.short.shape[1] + 8) * 1.2e-7 * self.norm[rows] * norm[lo]
+            low = np.where(np.isinf(least[rows]), -np.inf, least[rows] - off - 1.2e-7 * np.abs(least[rows])).astype(np.float32)
+            can = ~(bound < low[:, None])
+            can &= bound > (0 if positive else -off[:, None])
+            for i in np.flatnonzero(can.any(axis=1)):
+                self._score(rows[i], np.flatnonzero(can[i] & (n > 0)), did[lo:hi], code_here, w_here, at, n)
+            self.seen += 1
+            if self.seen & (self.seen - 1) == 0:
+                self.best.settle()
+
+    def _score(self, q: int, y: np.ndarray, did: np.ndarray, code: np.ndarray, w: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        if not len(y):
+            return
+        own = slice(self.start[q], self.start[q] + self.size[q])
+        weight = np.zeros(len(self.token))
+        np.add.at(weight, self.code[own], self.w[own])
+        row = _ranges(at[y], n[y])
+        s = np.add.reduceat(weight[code[row]] * w[row], np.cumsum(n[y]) - n[y])
+        good = (s > 0) & ~(s < self.best.least[q])
+        self.best.offer(np.full(good.sum(), q), did[y[good]], s[good])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.best.settle()
+        at, did, score = self.best.parts[0] if self.best.parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        return self.id[at], did, np.rint(score).astype(np.int64) if self.whole else score
+
+
+def sparse_topk(queries: DataFrame, posts: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """The ``k`` texts of largest token product for each query, of postings (token, id, w): qid, did, score, rk.
 
-    All shared tokens count. Blocks of queries meet blocks of texts, so a frequent token is never joined row by row, and
-    each meeting gives its best ``k`` a query only. Ids are whole numbers. Sums are made in doubles, which are exact for whole
-    weights while they stay below 2^53.
+    All shared tokens count; texts that cannot be among a query's best by their bounds are not scored. Blocks of queries meet
+    blocks of texts, so a frequent token is never joined row by row. Ids are whole numbers. Sums are made in doubles, which
+    are exact for whole weights while they stay below 2^53.
     """
-    blocks = lambda df, most: max(1, -(-df.agg(F.approx_count_distinct("id")).first()[0] // most))
-    nq, nd = blocks(queries, max(1, block // 8)), blocks(posts, block)
     whole = all(isinstance(df.schema["w"].dataType, IntegralType) for df in (queries, posts))
-    pairs = queries.sparkSession.range(nq * nd).select(F.expr(f"id div {nd}").alias("q_no"), F.expr(f"id % {nd}").alias("d_no"))
-    met = pairs.join(_inverted_blocks(queries, nq, "q"), "q_no").join(_inverted_blocks(posts, nd, "d"), "d_no").select("q", "d")
-
-    def score(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                q, d = _read_block(batch.column(0), row), _read_block(batch.column(1), row)
-                met = _met_scores(q, d)
-                for lo in range(0, len(met), 100):
-                    s = met[lo : lo + 100]
-                    n = min(k, s.shape[1])
-                    least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n, None]
-                    above, tied = s > least, s == least
-                    # texts stand in the order of their ids: of ties the smaller ones stay
-                    tied &= np.cumsum(tied, axis=1, dtype=np.int32) <= n - above.sum(axis=1, keepdims=True)
-                    x, y = np.nonzero((above | tied) & (s > 0))
-                    best = np.rint(s[x, y]).astype(np.int64) if whole else s[x, y]
-                    yield pa.RecordBatch.from_arrays([pa.array(q[4][lo + x], pa.int64()), pa.array(d[4][y], pa.int64()), pa.array(best)], names=["qid", "did", "score"])
-
-    return ranked(met.mapInArrow(score, f"qid bigint, did bigint, score {'bigint' if whole else 'double'}"), k)
+    start = lambda *x: _SparseBlock(*x, k=k, whole=whole)
+    met = _met(queries, posts, block, 2 * block, _pack_texts, "ids norms ends head code w", start, "bigint" if whole else "double", _by_text, _texts)
+    return ranked(met, k)
 
 
 def fused(dense: DataFrame, sparse: DataFrame, keep: int, k: int = RRF_K) -> DataFrame:

@@ -73,9 +73,9 @@ def _one_of_each(line: Column) -> Column:
     return F.aggregate(refs, start, step, lambda a: a["text"])
 
 
-def verified(answers: DataFrame) -> DataFrame:
-    """Of ``answers(id, answer, num_sources)``: the verified text and its report: id, verified, cited, hallucinated,
-    uncited_sources, uncited_paragraphs (previews of 120), clean."""
+def verified(answers: DataFrame, *kept: str) -> DataFrame:
+    """Of ``answers(id, answer, num_sources)``: the verified text and its report: id, the columns ``kept``, verified, cited,
+    hallucinated, uncited_sources, uncited_paragraphs (previews of 120), clean."""
     n = answers.withColumn("a", normalised_citations(F.col("answer"))).withColumn(
         "all_cited", F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all("a", F.lit(_NUMBER), F.lit(1)), lambda x: x.cast("bigint"))))
     )
@@ -92,7 +92,7 @@ def verified(answers: DataFrame) -> DataFrame:
     )
     n = n.withColumn("uncited_paragraphs", F.transform(bare, lambda p: F.when(F.length(p) > 120, F.concat(F.left(p, F.lit(120)), F.lit("..."))).otherwise(p)))
     return n.select(
-        "id", "verified", F.array_sort(F.array_intersect("all_cited", "valid")).alias("cited"), F.array_sort("hallucinated").alias("hallucinated"),
+        "id", *kept, "verified", F.array_sort(F.array_intersect("all_cited", "valid")).alias("cited"), F.array_sort("hallucinated").alias("hallucinated"),
         F.array_sort(F.array_except("valid", "all_cited")).alias("uncited_sources"), "uncited_paragraphs",
         ((F.size("hallucinated") == 0) & (F.size("uncited_paragraphs") == 0)).alias("clean"),
     )

@@ -102,11 +102,11 @@ def _packed(df: DataFrame, most: int, pack: Callable[[pa.Table], list[bytes]], n
     return df.mapInArrow(run, ", ".join([f"{side}_no bigint", *(f"{x} binary" for x in at)]))
 
 
-def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack: Callable, names: str, start: Callable, score: str, laid: Callable = lambda df: df, gather: Callable = _gathered) -> DataFrame:
+def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, packed: Callable, names: str, start: Callable, score: str) -> DataFrame:
     """Every block of queries with every block of docs: qid, did, score.
 
     A task holds one block of queries and sees the docs block by block, so that its least useful score grows over all it has
-    seen. ``start`` makes of a query block's bytes what meets the docs' bytes (``meet``) and tells its best at the end
+    seen. ``packed`` makes blocks of either side's rows, of ``names``. ``start`` makes of a query block's bytes what meets the docs' bytes (``meet``) and tells its best at the end
     (``result``). Many queries: as many blocks as keep all cores busy, and docs packed once; few: one, and docs in stripes.
     Many blocks meet in a session of their own, which sends a pair of blocks at a time to Python, and not 64 MB of them.
     """
@@ -116,8 +116,8 @@ def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack:
     blocks = max(1, -(-n // block))
     if n > FEW:
         blocks = -(-max(blocks, 2 * cores) // cores) * cores
-    asked, texts = scratch(spark), _packed(laid(docs), doc_block, pack, names, "d", gather)
-    _packed(laid(queries.repartition(blocks, "id")), block, pack, names, "q", gather).write.parquet(asked)
+    asked, texts = scratch(spark), packed(docs, doc_block, "d")
+    packed(queries.repartition(blocks, "id"), block, "q").write.parquet(asked)
     there = max(1, spark.read.parquet(asked).count())
     if there > 1:
         texts.write.parquet(path := scratch(spark))
@@ -147,6 +147,15 @@ def _met(queries: DataFrame, docs: DataFrame, block: int, doc_block: int, pack:
     return found
 
 
+def _not_below(s: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of what is not below its row's bound, as NaN is not. Few are, so cells are passed over by eights."""
+    below = np.ones((len(s), -(-s.shape[1] // 8) * 8), bool)
+    np.less(s, low[:, None], out=below[:, : s.shape[1]])
+    eights = np.flatnonzero(below.view(np.uint64) != 0x0101010101010101)
+    some = np.flatnonzero(~below.reshape(-1, 8)[eights])
+    return np.divmod(eights[some >> 3] * 8 + (some & 7), below.shape[1])
+
+
 def _pack_vectors(t: pa.Table) -> list[bytes]:
     vec = t.column("vec").combine_chunks()
     dims = pc.unique(pc.list_value_length(vec)).to_pylist()
@@ -194,12 +203,10 @@ class _DenseBlock:
         low = np.where(np.isfinite(least), least - off - 1.2e-7 * np.abs(least), -np.inf)
         if s.shape[1] > k and np.isinf(low).any():
             low = np.fmax(low, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - 2 * off)
-        low = np.nan_to_num(low, nan=-np.inf, posinf=np.inf, neginf=-np.inf).astype(np.float32)[:, None]
-        rows = np.flatnonzero(~(s.max(axis=1, keepdims=True) < low))
-        x, y = np.nonzero(~(s[rows] < low[rows]))
-        x = rows[x] + at.start
-        for lo in range(0, len(x), 65536):
-            p, r = x[lo : lo + 65536], y[lo : lo + 65536]
+        x, y = _not_below(s, np.nan_to_num(low, nan=-np.inf, posinf=np.inf, neginf=-np.inf).astype(np.float32))
+        x += at.start
+        for lo in range(0, len(x), 16384):
+            p, r = x[lo : lo + 16384], y[lo : lo + 16384]
             exact = np.round(np.einsum("ij,ij->i", self.v[p], v[r]), 6) + 0.0
             good = ~(exact < self.best.least[p])
             self.best.offer(p[good], did[r[good]], exact[good])
@@ -217,7 +224,9 @@ def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = BLOC
     """
     rows = lambda df: df.where("vec is not null and id is not null").select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
     start = lambda ids, vecs: _DenseBlock(ids, vecs, k)
-    return ranked(_met(rows(queries), rows(vectors), block, 2 * block, _pack_vectors, "ids vecs", start, "double"), k)
+    names = "ids vecs"
+    packed = lambda df, most, side: _packed(df, most, _pack_vectors, names, side, _gathered)
+    return ranked(_met(rows(queries), rows(vectors), block, 2 * block, packed, names, start, "double"), k)
 
 
 def ranked(scored: DataFrame, k: int) -> DataFrame:
@@ -226,11 +235,22 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rk", F.row_number().over(w).cast("bigint")).where(F.col("rk") <= k)
 
 
+def tokens(text: Column) -> Column:
+    """A text's lower-case letter runs, in their order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+
+
+def token_lists(texts: DataFrame) -> DataFrame:
+    """All tokens of ``texts(id, text)``, one row an id: id, tokens. Ids without tokens are left out."""
+    one = texts.repartition("id").groupBy("id").agg(F.collect_list("text").alias("texts"))
+    return one.select("id", F.flatten(F.transform("texts", tokens)).alias("tokens")).where(F.size("tokens") > 0)
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """Token counts of ``texts(id, text)`` over lower-case letter runs, every token of every text: token, id, w."""
     # a text is shuffled rather than each of its tokens
-    tokens = texts.repartition("id").select("id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("token"))
-    return tokens.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
+    each = texts.repartition("id").select("id", F.explode(tokens(F.col("text"))).alias("token"))
+    return each.groupBy("token", "id").agg(F.count(F.lit(1)).alias("w"))
 
 
 def max_pooled(weights: DataFrame) -> DataFrame:
@@ -269,17 +289,30 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def _pack_texts(t: pa.Table) -> list[bytes]:
-    """Postings as texts of falling norm: their ids, norms and ends, and each posting's token and weight."""
-    start = np.flatnonzero(t.column("first").to_numpy() == 1)
-    token, w = t.column("token").combine_chunks().dictionary_encode(), t.column("w").to_numpy()
-    code, size = token.indices.to_numpy(), np.diff(np.append(start, len(w)))
+    """Postings as texts, see ``_pack_weighted``."""
+    start, token = np.flatnonzero(t.column("first").to_numpy() == 1), t.column("token").combine_chunks().dictionary_encode()
+    return _pack_weighted(t.column("id").to_numpy()[start], start, token.dictionary.to_pylist(), token.indices.to_numpy(), t.column("w").to_numpy())
+
+
+def _pack_lists(t: pa.Table) -> list[bytes]:
+    """Lists of tokens as texts with the tokens' counts, see ``_pack_weighted``."""
+    said = t.column("tokens").combine_chunks()
+    token = said.flatten().dictionary_encode()
+    row, n = np.repeat(np.arange(len(said)), pc.list_value_length(said).to_numpy()), len(token.dictionary)
+    both, w = np.unique(row * n + token.indices.to_numpy(), return_counts=True)
+    row, code = np.divmod(both, n)
+    return _pack_weighted(t.column("id").to_numpy(), np.flatnonzero(np.diff(row, prepend=-1)), token.dictionary.to_pylist(), code, w)
+
+
+def _pack_weighted(ids: np.ndarray, start: np.ndarray, tokens: list[str], code: np.ndarray, w: np.ndarray) -> list[bytes]:
+    """Texts of falling norm: their ids, norms and ends, and each posting's token and weight."""
+    size = np.diff(np.append(start, len(w)))
     norm = np.sqrt(np.add.reduceat(w.astype(float) ** 2, start))
     order = np.argsort(-norm, kind="stable")
     row = _ranges(start[order], size[order])
     code, w = _narrow(code[row]), _narrow(w[row])
-    head = {"tokens": token.dictionary.to_pylist(), "code": code.dtype.str, "w": w.dtype.str}
-    ids = t.column("id").to_numpy()[start[order]]
-    return [ids.tobytes(), norm[order].tobytes(), np.cumsum(size[order]).tobytes(), json.dumps(head).encode(), code.tobytes(), w.tobytes()]
+    head = {"tokens": tokens, "code": code.dtype.str, "w": w.dtype.str}
+    return [ids[order].tobytes(), norm[order].tobytes(), np.cumsum(size[order]).tobytes(), json.dumps(head).encode(), code.tobytes(), w.tobytes()]
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -295,7 +328,7 @@ class _SparseBlock:
     the products of the block's heaviest tokens plus, in each group of the other tokens, the product of the norms there.
     """
 
-    HEAVY, GROUPS, TILE = 64, 32, 512
+    HEAVY, GROUPS, TILE = 64, 32, 128
 
     def __init__(self, *block: bytes, k: int, whole: bool):
         self.id, self.norm, self.token, self.code, self.w, self.start, self.size = self._read(*block)
@@ -308,12 +341,13 @@ class _SparseBlock:
         self.positive = bool((self.w >= 0).all())
 
     @staticmethod
-    def _read(ids, norms, ends, head, code, w) -> tuple:
-        h, ends = json.loads(bytes(head)), np.frombuffer(ends, np.int64)
-        start = np.concatenate(([0], ends[:-1]))
+    def _read(ids, norms, ends, head, code, w, most: int | None = None) -> tuple:
+        """A block's texts, or the first ``most`` of them."""
+        h, ends = json.loads(bytes(head)), np.frombuffer(ends, np.int64)[:most]
+        start, n = np.concatenate(([0], ends[:-1])), int(ends[-1])
         return (
-            np.frombuffer(ids, np.int64), np.frombuffer(norms, float), pa.array(h["tokens"], pa.string()), np.frombuffer(code, h["code"]).astype(int),
-            np.frombuffer(w, h["w"]).astype(float), start, ends - start,
+            np.frombuffer(ids, np.int64)[:most], np.frombuffer(norms, float)[:most], pa.array(h["tokens"], pa.string()), np.frombuffer(code, h["code"], n).astype(int),
+            np.frombuffer(w, h["w"], n).astype(float), start, ends - start,
         )
 
     def _short(self, row: np.ndarray, code: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
@@ -322,13 +356,27 @@ class _SparseBlock:
         x[:, self.HEAVY :] = np.sqrt(x[:, self.HEAVY :])
         return x.astype(np.float32)
 
+    def _asking(self, norm: np.ndarray | float) -> np.ndarray:
+        """Of norms, or of one, whether a text of that norm may be among a query's best: a row a query."""
+        return ~(self.norm * norm * (1 + 1e-9) < self.best.least) & (self.norm != 0)
+
+    def _wanted(self, norm: np.ndarray) -> int:
+        """How many of texts of these falling norms any query may want."""
+        with np.errstate(all="ignore"):
+            asks = self.best.least[self.norm != 0] / self.norm[self.norm != 0]
+        most = np.flatnonzero(~(norm * (1 + 2e-9) < asks.min(initial=np.inf)))
+        return most[-1] + 1 if len(most) else 0
+
     def meet(self, *block) -> None:
-        did, norm, token, code, w, start, size = self._read(*block)
+        # texts come by falling norm, so those that none wants are not even read
+        if not (most := self._wanted(np.frombuffer(block[1], float))):
+            return
+        did, norm, token, code, w, start, size = self._read(*block, most)
         to = pc.fill_null(pc.index_in(token, value_set=self.token), -1).to_numpy().astype(int)[code]
         positive = self.positive and bool((w >= 0).all())
         for lo in range(0, len(did), self.TILE):
             least = self.best.least
-            rows = np.flatnonzero(~(self.norm * norm[lo] * (1 + 1e-9) < least))
+            rows = np.flatnonzero(self._asking(norm[lo]))
             if not len(rows):
                 break
             hi = min(lo + self.TILE, len(did))
@@ -344,8 +392,15 @@ class _SparseBlock:
             low = np.where(np.isinf(least[rows]), -np.inf, least[rows] - off - 1.2e-7 * np.abs(least[rows])).astype(np.float32)
             can = ~(bound < low[:, None])
             can &= bound > (0 if positive else -off[:, None])
-            for i in np.flatnonzero(can.any(axis=1)):
-                self._score(rows[i], np.flatnonzero(can[i] & (n > 0)), did[lo:hi], code_here, w_here, at, n)
+            asking, asked = np.flatnonzero(can.any(axis=1)), np.flatnonzero(can.any(axis=0) & (n > 0))
+            # whole weights add up to the same in either order, so the fewer of the two are gone through
+            if self.whole and len(asked) < len(asking):
+                for y in asked:
+                    post = slice(at[y], at[y] + n[y])
+                    self._score_text(rows[can[:, y]], did[lo + y], code_here[post], w_here[post])
+            else:
+                for i in asking:
+                    self._score(rows[i], np.flatnonzero(can[i] & (n > 0)), did[lo:hi], code_here, w_here, at, n)
             self.seen += 1
             if self.seen & (self.seen - 1) == 0:
                 self.best.settle()
@@ -361,6 +416,17 @@ class _SparseBlock:
         good = (s > 0) & ~(s < self.best.least[q])
         self.best.offer(np.full(good.sum(), q), did[y[good]], s[good])
 
+    def _score_text(self, q: np.ndarray, did: int, code: np.ndarray, w: np.ndarray) -> None:
+        weight = np.zeros(len(self.token))
+        np.add.at(weight, code, w)
+        if 2 * len(q) > len(self.id):
+            s = np.add.reduceat(weight[self.code] * self.w, self.start)[q]
+        else:
+            row = _ranges(self.start[q], self.size[q])
+            s = np.add.reduceat(weight[self.code[row]] * self.w[row], np.cumsum(self.size[q]) - self.size[q])
+        good = (s > 0) & ~(s < self.best.least[q])
+        self.best.offer(q[good], np.full(good.sum(), did), s[good])
+
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         self.best.settle()
         at, did, score = self.best.parts[0] if self.best.parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
@@ -368,16 +434,24 @@ class _SparseBlock:
 
 
 def sparse_topk(queries: DataFrame, posts: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """The ``k`` texts of largest token product for each query, of postings (token, id, w): qid, did, score, rk.
+    """The ``k`` texts of largest token product for each query, of postings (token, id, w) or of tokens (id, tokens), which
+    count as often as they come, an id in one row: qid, did, score, rk.
 
     All shared tokens count; texts that cannot be among a query's best by their bounds are not scored. Blocks of queries meet
     blocks of texts, so a frequent token is never joined row by row. Ids are whole numbers. Sums are made in doubles, which
     are exact for whole weights while they stay below 2^53.
     """
-    whole = all(isinstance(df.schema["w"].dataType, IntegralType) for df in (queries, posts))
+    listed = lambda df: "tokens" in df.columns
+    whole = all(listed(df) or isinstance(df.schema["w"].dataType, IntegralType) for df in (queries, posts))
     start = lambda *x: _SparseBlock(*x, k=k, whole=whole)
-    met = _met(queries, posts, block, 2 * block, _pack_texts, "ids norms ends head code w", start, "bigint" if whole else "double", _by_text, _texts)
-    return ranked(met, k)
+    names = "ids norms ends head code w"
+
+    def packed(df: DataFrame, most: int, side: str) -> DataFrame:
+        if listed(df):
+            return _packed(df.where("id is not null").select(F.col("id").cast("bigint").alias("id"), "tokens"), most, _pack_lists, names, side, _gathered)
+        return _packed(_by_text(df), most, _pack_texts, names, side, _texts)
+
+    return ranked(_met(queries, posts, block, 2 * block, packed, names, start, "bigint" if whole else "double"), k)
 
 
 def fused(dense: DataFrame, sparse: DataFrame, keep: int, k: int = RRF_K) -> DataFrame:
@@ -396,11 +470,13 @@ def fused(dense: DataFrame, sparse: DataFrame, keep: int, k: int = RRF_K) -> Dat
 def overlap_reranked(candidates: DataFrame, query_words: DataFrame, doc_words: DataFrame, keep: int) -> DataFrame:
     """Candidates (qid, did, rk) in the order of the stand-in reranker: the sigmoid of shared words less 3, 6 digits.
 
-    ``query_words(qid, qwords)`` and ``doc_words(did, dwords)`` hold distinct words. Ties keep the given rank.
-    Gives qid, did, rerank, new_rk.
+    ``query_words(qid, qwords)`` and ``doc_words(did, dwords)`` hold distinct words, which are not null and have no line
+    breaks. Ties keep the given rank. Gives qid, did, rerank, new_rk.
     """
-    both = candidates.join(query_words, "qid").join(doc_words, "did")
-    score = F.round(1 / (1 + F.exp(3.0 - F.size(F.array_intersect("qwords", "dwords")))), 6)
+    # a question's words are shuffled once a candidate, as one text half the size of a list
+    lines = query_words.select("qid", F.array_join("qwords", "\n").alias("qwords"))
+    both = candidates.join(lines, "qid").join(doc_words, "did")
+    score = F.round(1 / (1 + F.exp(3.0 - F.size(F.array_intersect(F.split("qwords", "\n"), "dwords")))), 6)
     scored = both.select("qid", "did", "rk", score.alias("rerank"))
     w = Window.partitionBy("qid").orderBy(F.desc("rerank"), "rk")
     return scored.withColumn("new_rk", F.row_number().over(w).cast("bigint")).where(F.col("new_rk") <= keep).drop("rk")

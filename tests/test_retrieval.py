@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from inkwell.operators import retrieval as R
 
@@ -99,3 +100,49 @@ def test_sparse_counts_all_tokens_as_brute_force_does(spark):
         assert got == want
     few = R.token_counts(spark.createDataFrame([(1, "a b"), (2, "b c")], "id long, text string"))
     assert {(r.qid, r.did): r.score for r in R.sparse_topk(few, few, 5).collect()} == {(1, 1): 2, (1, 2): 1, (2, 2): 2, (2, 1): 1}
+
+
+def test_sparse_goes_through_the_fewer_of_queries_and_texts(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    texts = [(i, [str(x) for x in rng.choice(words, n)]) for i, n in enumerate(rng.lognormal(3, 0.7, 3000).astype(int) + 1)]
+    df = spark.createDataFrame(texts, "id long, tokens array<string>")
+    w = np.zeros((3000, 300))
+    for i, said in texts:
+        for t in said:
+            w[i, words.index(t)] += 1
+    s = w @ w.T
+    best = [np.lexsort((np.arange(3000), -s[q]))[:7] for q in range(3000)]
+    want = {(q, k + 1): (d, s[q, d]) for q in range(0, 3000, 2) for k, d in enumerate(best[q]) if s[q, d] > 0}
+    lists = R.sparse_topk(df.where("id % 2 = 0"), df, 7, block=600)
+    posts = df.select("id", F.explode("tokens").alias("token")).groupBy("token", "id").agg(F.count("*").alias("w"))
+    for found in (lists, R.sparse_topk(df.where("id % 2 = 0"), posts, 7, block=600)):
+        assert {(r.qid, r.rk): (r.did, r.score) for r in found.collect()} == want
+    # blocks of 500 texts against one of 3 000 queries: a turn for each text at most
+    turns, score, score_text = [], R._SparseBlock._score, R._SparseBlock._score_text
+    monkeypatch.setattr(R._SparseBlock, "_score", lambda self, *x: turns.append(1) or score(self, *x))
+    monkeypatch.setattr(R._SparseBlock, "_score_text", lambda self, *x: turns.append(1) or score_text(self, *x))
+    pack = lambda some: R._pack_lists(pa.table({"id": [i for i, _ in some], "tokens": [said for _, said in some]}))
+    block = R._SparseBlock(*pack(texts), k=7, whole=True)
+    for lo in range(0, 3000, 500):
+        block.meet(*pack(texts[lo : lo + 500]))
+    at, did, found = block.result()
+    for q in range(0, 3000, 100):
+        assert list(did[at == q]) == [d for d in best[q] if s[q, d] > 0]
+    assert len(turns) <= 3000
+    # texts too light for any query are not read
+    block = R._SparseBlock(*pack([x for x in texts if len(x[1]) > 30]), k=7, whole=True)
+    block.meet(*pack([x for x in texts if len(x[1]) > 30]))
+    block.best.settle()
+    monkeypatch.setattr(R._SparseBlock, "_read", None)
+    block.meet(*pack([(9000 + i, [t]) for i, t in enumerate(words[:9])]))
+
+
+def test_cells_that_are_not_below_a_bound():
+    rng = np.random.default_rng(7)
+    for m in (1, 7, 8, 41):
+        s = rng.normal(size=(9, m)).astype(np.float32)
+        s[2, 0], low = np.nan, rng.normal(size=9).astype(np.float32)
+        low[3], s[4, m - 1] = -np.inf, low[4]
+        want = np.nonzero(~(s < low[:, None]))
+        assert all((a == b).all() for a, b in zip(R._not_below(s, low), want))
